@@ -43,9 +43,10 @@ def parse_offset_ts(c: ColumnOrName, name: str = "date") -> Column:
     """
     c = _col(c)
     message = F.concat(F.lit(f"{name} is not a date with an offset: "), c)
-    return F.when(
-        is_bad_offset_date(c), F.raise_error(message).cast("timestamp")
-    ).otherwise(try_parse_offset_ts(c))
+    there = F.nullif(c, F.lit("")).isNotNull()
+    return F.coalesce(
+        try_parse_offset_ts(c), F.when(there, F.raise_error(message).cast("timestamp"))
+    )
 
 
 def round_to_hour(c: ColumnOrName) -> Column:

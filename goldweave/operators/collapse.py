@@ -79,12 +79,17 @@ def _needs_first(source: MergeSource, keys: Sequence[str]) -> bool:
     return any(c not in source.constants for c in source.insert_only(keys))
 
 
+def _needs_last(source: MergeSource) -> bool:
+    return any(c not in source.constants for c in source.update)
+
+
 def _tagged(source: MergeSource, keys: Sequence[str]) -> DataFrame:
     payload = source.payload(keys)
     first_by = source.order if source.first_by is None else source.first_by
     last_by = source.order if source.last_by is None else source.last_by
     weight = F.lit(1) if source.weight is None else F.col(source.weight)
-    columns = [_ranked(last_by, payload).alias(source.last), weight.cast("long").alias(source.count)]
+    last = _ranked(last_by, payload) if _needs_last(source) else _ranked((), ())
+    columns = [last.alias(source.last), weight.cast("long").alias(source.count)]
     if _needs_first(source, keys):
         columns.append(_ranked(first_by, payload).alias(source.first))
     return source.rows.select(*keys, *columns)

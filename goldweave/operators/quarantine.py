@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,28 +16,42 @@ BROKEN = "_broken"
 
 @dataclass(frozen=True)
 class Rule:
-    """``failed`` is true for a row that breaks the rule; NULL counts as kept."""
+    """``failed`` is true for a row that breaks the rule; NULL counts as kept.
+
+    It is a SQL condition, or a function that builds one, so that rules can be
+    stated before there is a session.
+    """
 
     code: int
     message: str
-    failed: Column
+    failed: str | Callable[[], Column]
+
+    @property
+    def condition(self) -> Column:
+        return F.expr(self.failed) if isinstance(self.failed, str) else self.failed()
 
 
 def not_null(code: int, column: str) -> Rule:
-    return Rule(code, f"{column} is missing", F.col(column).isNull())
+    return Rule(code, f"{column} is missing", lambda: F.col(column).isNull())
 
 
 def max_length(code: int, column: str, length: int) -> Rule:
-    return Rule(code, f"{column} is longer than {length}", F.char_length(column) > length)
+    return Rule(
+        code, f"{column} is longer than {length}", lambda: F.char_length(F.col(column)) > length
+    )
 
 
 def castable(code: int, column: str, to: str) -> Rule:
-    bad = F.col(column).isNotNull() & F.col(column).try_cast(to).isNull()
+    def bad() -> Column:
+        return F.col(column).isNotNull() & F.col(column).try_cast(to).isNull()
+
     return Rule(code, f"{column} is not a {to}", bad)
 
 
 def offset_date(code: int, column: str) -> Rule:
-    return Rule(code, f"{column} is not a date with an offset", is_bad_offset_date(column))
+    return Rule(
+        code, f"{column} is not a date with an offset", lambda: is_bad_offset_date(column)
+    )
 
 
 def _broken(rules: Sequence[Rule]) -> Column:
@@ -45,7 +59,7 @@ def _broken(rules: Sequence[Rule]) -> Column:
         F.array(
             *[
                 F.when(
-                    r.failed,
+                    r.condition,
                     F.struct(F.lit(r.code).cast("long").alias("code"), F.lit(r.message).alias("message")),
                 )
                 for r in rules
@@ -67,7 +81,7 @@ def split_rejects(rows: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Da
         return rows, none
     fails = F.lit(False)
     for r in rules:
-        fails = fails | F.coalesce(r.failed, F.lit(False))
+        fails = fails | F.coalesce(r.condition, F.lit(False))
     accepted = rows.where(~fails)
     rejected = (
         rows.where(fails)

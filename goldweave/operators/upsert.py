@@ -37,6 +37,7 @@ def _fold(
     A match is told by a flag, never by a value: a matched NULL overwrites.
     """
     flags: dict[str, Column] = {}
+    tally = tally or INSERTED_BY in columns
     there = F.col(_KNOWN).isNotNull()
     inserted_by = F.lit(None).cast("string")
     for s in sources:
@@ -67,9 +68,10 @@ def _fold(
             chain = chain.when(condition, v)
         return chain.otherwise(F.col(c)).cast(joined.schema[c].dataType).alias(c)
 
-    out = [F.col(c) if c in keys else folded(c) for c in columns]
+    out = [F.col(c) if c in keys else folded(c) for c in columns if c != INSERTED_BY]
     if tally:
-        out.append(inserted_by.alias(INSERTED_BY))
+        before = F.col(INSERTED_BY) if INSERTED_BY in columns else F.lit(None)
+        out.append(F.coalesce(before.cast("string"), inserted_by).alias(INSERTED_BY))
         for s in sources:
             hit = F.col(f"_hit_{s.name}")
             out.append(F.when(hit, F.col(s.count)).alias(rows_column(s.name)))

@@ -1,0 +1,29 @@
+from goldweave.sources.lookup import LookupFailed, job_frequency, lookup_one, property_is_on
+from goldweave.sources.snapshot import AlreadyCommitted, Store, append_rejects, publish
+from goldweave.sources.tables import (
+    deleted_rows,
+    flag_rows,
+    of_source,
+    read_changes,
+    read_feed,
+    read_table,
+    source_count,
+)
+
+__all__ = [
+    "AlreadyCommitted",
+    "LookupFailed",
+    "Store",
+    "append_rejects",
+    "deleted_rows",
+    "flag_rows",
+    "job_frequency",
+    "lookup_one",
+    "of_source",
+    "property_is_on",
+    "publish",
+    "read_changes",
+    "read_feed",
+    "read_table",
+    "source_count",
+]
