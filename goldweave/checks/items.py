@@ -46,10 +46,8 @@ def _feed_expressions() -> dict[str, str]:
         eol_date=f"CASE WHEN l_discount < 0.01 THEN '' ELSE concat({shipped}, ' 00:00:00 -05:00') END",
         setup_date=f"concat({shipped}, ' 0:0:0 +05:30')",
     )
-    # the remaining codes vary as well, so that a column put in the wrong place shows
-    varied = [c for c in S.CODES if e[c] == _NO_TEXT]
-    for i, c in enumerate(varied):
-        e[c] = f"concat('{c[:3]}', CAST(l_linenumber + {i} AS STRING))"
+    # every remaining code has a value of its own, so that a column put in the wrong place shows
+    e.update({c: f"'{c}'" for c in S.CODES if e[c] == _NO_TEXT})
     return e
 
 

@@ -258,9 +258,9 @@ def run_item_load(
             control = advance(control, planned, sync_id)
             if windows.n:
                 at = "messages"
-                messages = _staged(
-                    spark, caught_up(read_table(spark, paths.changes, S.MESSAGE_SCHEMA), windows), run_id
-                )
+                # used by the size check, the merge and the rejects; the log is the largest input
+                log = read_table(spark, paths.changes, S.MESSAGE_SCHEMA)
+                messages = session.staged(caught_up(log, windows), f"{run_id}/messages")
 
         at = "merge"
         sides = [mine, *([] if messages is None else [messages])]
@@ -323,17 +323,6 @@ def run_item_load(
         raise LoadFailed(at, e) from e
 
 
-def _staged(spark: SparkSession, rows: DataFrame, run_id: str) -> DataFrame:
-    """Write the winning messages to the shared folder and read them back.
-
-    They are used several times (size check, merge, rejects), and the log they
-    come from is the largest input; a lost executor does not repeat its scan.
-    """
-    path = f"{session.shared_folder(spark)}/goldweave/{run_id}/messages"
-    rows.write.mode("overwrite").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     first, *rest = parts
     for p in rest:

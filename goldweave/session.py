@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a load sets on its session while it runs.
 LOAD_SETTINGS = {
@@ -34,3 +34,14 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="goldweave-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
+
+
+def staged(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared folder and read them back: used several times, computed once.
+
+    A lost executor then costs a read of the table, not the work that led to it.
+    """
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/goldweave/{name}"
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -46,7 +46,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def _short(path: str) -> str:
+def short_name(path: str) -> str:
     return hashlib.sha256(path.encode()).hexdigest()[:16]
 
 
@@ -88,7 +88,7 @@ class Store:
 
     def _bucketed(self, c: Row, schema: T.StructType) -> DataFrame:
         """Read a bucketed directory with its layout, so joins on the key skip the shuffle."""
-        name = f"goldweave_read_{_short(c['path'])}"
+        name = f"goldweave_read_{short_name(c['path'])}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
@@ -134,7 +134,7 @@ class Store:
         if not buckets:
             writer.parquet(path)
             return Written(table, path)
-        name = f"goldweave_write_{_short(path)}"
+        name = f"goldweave_write_{short_name(path)}"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         writer.bucketBy(buckets, *bucket_columns).option("path", path).format(
             "parquet"
