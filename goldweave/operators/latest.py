@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldweave.operators.joins import join_unique
 from goldweave.operators.windows import Windows
 
 
@@ -29,8 +30,7 @@ def latest_in_window(
         .groupBy(item)
         .agg(F.max(seq).alias(seq))
     )
-    # equal names on both sides: one equi-join on (item, number), which also
-    # spreads the messages of a hot item
+    # one equi-join on (item, number), which also spreads the messages of a hot item
     return messages.join(highest, [item, seq], "inner").select(*messages.columns)
 
 
@@ -67,6 +67,6 @@ def catch_up(
         F.max(window).alias("last_window"),
         F.count("*").alias("times"),
     )
-    return messages.join(spans, [item, seq], "inner").select(
+    return join_unique(messages, spans, [item, seq], "inner").select(
         *messages.columns, "first_window", "last_window", "times"
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from goldweave.functions import same_row
 from goldweave.operators.collapse import has_all
+from goldweave.operators.joins import join_unique
 
 DUPLICATE_KEY = 1
 DUPLICATE_MESSAGE = "key is not unique among the new rows"
@@ -39,8 +40,8 @@ def insert_new(
 
     Keys are looked up in the target as it was, so later rows of a new key are
     duplicates, not updates. They are told apart from the first by an
-    aggregation and a join with its one row per key: a window function over the
-    key would put all rows of a hot key into one task. ``distinct=False`` is
+    aggregation and a join with its one row per key, in which Spark can split a
+    hot key: a window function over the key would put its rows into one task. ``distinct=False`` is
     for rows that are distinct already.
     """
     constants = constants or {}
@@ -73,7 +74,7 @@ def insert_new(
     elif null_keys != "absent":
         raise ValueError(f"null_keys must be 'insert' or 'absent', not {null_keys!r}")
 
-    others = keyed.join(fresh, list(keys), "inner").where(
+    others = join_unique(keyed, fresh, keys, "inner").where(
         ~same_row([F.col(c) for c in full], [F.col("_first")[c] for c in full])
     )
     duplicates = others.select(*rows.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from goldweave import schema as S
 from goldweave.operators.collapse import MergeSource, collapse
+from goldweave.operators.joins import join_unique
 from goldweave.operators.upsert import merge
 
 
@@ -21,18 +22,21 @@ def update_by_key(
     constants: dict[str, Column] | None = None,
     order: Sequence[str] = (),
     small_source: bool = False,
+    unique_target: bool = False,
     tally: bool = False,
 ) -> DataFrame:
     """Set ``columns`` on every target row with a key in ``rows``; the last row of a key wins.
 
-    The target may have many rows per key. The joined side has one, so a hot
-    key is a left-side skew, which AQE splits.
+    The target may have many rows per key, also very many: they are split.
+    ``unique_target=True`` is for a whole key, and spares one shuffle of ``rows``.
     """
     constants = constants or {}
     source = MergeSource(
         "source", rows, update=[*columns, *constants], constants=constants, order=order
     )
-    return merge(target, [source], keys, small_sources=small_source, tally=tally)
+    return merge(
+        target, [source], keys, small_sources=small_source, unique_target=unique_target, tally=tally
+    )
 
 
 def expand_to_keys(
@@ -48,7 +52,7 @@ def expand_to_keys(
     every = keyed[0].select(*keys)
     for other in keyed[1:]:
         every = every.unionByName(other.select(*keys))
-    return every.join(last, list(by), "inner").select(*keys, *columns)
+    return join_unique(every, last, by, "inner").select(*keys, *columns)
 
 
 def soft_delete(
@@ -62,5 +66,6 @@ def soft_delete(
 ) -> DataFrame:
     """Copy the deleted state (and stamp ``constants``) onto rows with a key in ``deleted``."""
     return update_by_key(
-        target, deleted, keys, [state], constants=constants, small_source=small_source
+        target, deleted, keys, [state], constants=constants, small_source=small_source,
+        unique_target=True,
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldweave.operators.collapse import MergeSource, collapse_many, has_all
+from goldweave.operators.joins import join_unique
 
 _KNOWN = "_known"
 INSERTED_BY = "load_inserted_by"
@@ -96,6 +97,7 @@ def merge(
     keys: Sequence[str],
     *,
     small_sources: bool = False,
+    unique_target: bool = True,
     null_keys: str = "insert",
     tally: bool = False,
 ) -> DataFrame:
@@ -104,7 +106,9 @@ def merge(
     ``small_sources=True`` is for sources whose size has been checked (see
     :func:`goldweave.operators.sizing.fits_in_memory`): they are broadcast and
     the target is not shuffled. Otherwise the target is shuffled once, by
-    ``keys``; those are unique in it, so no partition runs hot.
+    ``keys``; those are unique in it, so no partition runs hot. Sources that only
+    update may go by part of the key: then ``unique_target=False`` lets Spark
+    split the rows of a hot one.
 
     ``null_keys``: ``'insert'`` adds every source row with a NULL key as it is;
     ``'absent'`` says that a reject rule has taken them out, and saves looking.
@@ -125,10 +129,14 @@ def merge(
             matched = target.select(*keys).join(
                 F.broadcast(source.select(*keys)), list(keys), "left_semi"
             )
-            fresh = source.join(matched.distinct(), list(keys), "left_anti")
+            fresh = source.join(F.broadcast(matched.distinct()), list(keys), "left_anti")
             joined = joined.unionByName(fresh, allowMissingColumns=True)
+    elif inserting:
+        joined = known.join(source, list(keys), "full")
+    elif unique_target:
+        joined = known.join(source, list(keys), "left")
     else:
-        joined = known.join(source, list(keys), "full" if inserting else "left")
+        joined = join_unique(known, source, keys, "left")
     result = _fold(joined, target.columns, keys, sources, tally)
     if null_keys == "insert" and inserting:
         parts = [_keyless(s, target, keys) for s in inserting]
