@@ -18,6 +18,19 @@ HOUR = timedelta(hours=1)
 START = datetime(2024, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def small_session(spark):
+    """Wide rows but few of them: compiling the plans would take most of the time."""
+    fast = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+            "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k) for k in fast}
+    for k, v in fast.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 class World:
     """Input tables and a store in a folder of their own."""
 
