@@ -5,7 +5,6 @@ from goldweave.functions.scalars import (
     next_sequence,
     parse_offset_ts,
     round_to_hour,
-    same_row,
     stride_seconds,
     timestamp_text,
     try_parse_offset_ts,
@@ -18,7 +17,6 @@ __all__ = [
     "next_sequence",
     "parse_offset_ts",
     "round_to_hour",
-    "same_row",
     "stride_seconds",
     "timestamp_text",
     "try_parse_offset_ts",

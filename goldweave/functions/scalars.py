@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,11 +70,3 @@ def next_sequence(highest: ColumnOrName, limit: int = SEQUENCE_LIMIT) -> Column:
 def stride_seconds(per_day: ColumnOrName) -> Column:
     """Whole seconds between two windows at ``per_day`` windows a day."""
     return F.round(F.lit(86400) / _col(per_day)).cast("long")
-
-
-def same_row(left: Iterable[Column], right: Iterable[Column]) -> Column:
-    """Column-wise equality in which NULL equals NULL."""
-    condition = F.lit(True)
-    for a, b in zip(left, right, strict=True):
-        condition = condition & a.eqNullSafe(b)
-    return condition

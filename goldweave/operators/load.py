@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldweave.functions import same_row
 from goldweave.operators.collapse import has_all
 from goldweave.operators.joins import join_unique
 
@@ -58,24 +57,25 @@ def insert_new(
     )
     fresh = first.join(target.select(*keys), list(keys), "left_anti")
 
-    def shaped(get: dict[str, Column]) -> list[Column]:
-        return [
-            get.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c)
-            for c in target.columns
-        ]
+    def shaped(source: DataFrame, where: dict[str, str]) -> DataFrame:
+        return source.withColumns({f"_const_{c}": v for c, v in constants.items()}).selectExpr(
+            *[
+                f"CAST({where.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in target.schema.fields
+            ]
+        )
 
-    from_first = {c: F.col("_first")[c] for c in columns if c in full}
-    by_key = {k: F.col(k) for k in keys}
-    inserted = fresh.select(*shaped({**from_first, **by_key, **constants}))
+    by_key = {k: f"`{k}`" for k in keys} | {c: f"`_const_{c}`" for c in constants}
+    inserted = shaped(fresh, {c: f"`_first`.`{c}`" for c in columns if c in full} | by_key)
     if null_keys == "insert":
-        plain = {c: F.col(c) for c in columns if c in rows.columns}
-        keyless = rows.where(~has_all(keys)).select(*shaped({**plain, **by_key, **constants}))
-        inserted = inserted.unionByName(keyless)
+        plain = {c: f"`{c}`" for c in columns if c in rows.columns}
+        inserted = inserted.unionByName(shaped(rows.where(~has_all(keys)), plain | by_key))
     elif null_keys != "absent":
         raise ValueError(f"null_keys must be 'insert' or 'absent', not {null_keys!r}")
 
+    # rows are distinct, so only the first itself equals the first
     others = join_unique(keyed, fresh, keys, "inner").where(
-        ~same_row([F.col(c) for c in full], [F.col("_first")[c] for c in full])
+        ~F.struct(*full).eqNullSafe(F.col("_first")) if full else F.lit(False)
     )
     duplicates = others.select(*rows.columns)
     return Loaded(inserted, duplicates, target.unionByName(inserted))

@@ -111,13 +111,9 @@ def as_rejects(
         S.MODIFIED: timestamp_text(run_ts),
     }
 
-    def column(f) -> Column:
-        if f.name in fixed:
-            c = fixed[f.name]
-        elif f.name in rejected.columns:
-            c = F.col(f.name)
-        else:
-            c = F.lit(None)
-        return c.cast(f.dataType).alias(f.name)
-
-    return rejected.select(*[column(f) for f in S.REJECT_SCHEMA.fields])
+    def column(f) -> str:
+        there = f.name in fixed or f.name in rejected.columns
+        value = f"`{f.name}`" if there else "NULL"
+        return f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`"
+
+    return rejected.withColumns(fixed).selectExpr(*[column(f) for f in S.REJECT_SCHEMA.fields])

@@ -35,60 +35,61 @@ def _fold(
 ) -> DataFrame:
     """Walk the sources in order over each joined row.
 
-    A match is told by a flag, never by a value: a matched NULL overwrites.
+    A match is told by a flag, never by a value: a matched NULL overwrites. The
+    expressions are stated as SQL text: a wide table has many of them, and each
+    is then one call to the JVM.
     """
-    flags: dict[str, Column] = {}
+    added: dict[str, Column] = {}
     tally = tally or INSERTED_BY in columns
     there = F.col(_KNOWN).isNotNull()
-    inserted_by = F.lit(None).cast("string")
     for s in sources:
         hit = F.col(s.last).isNotNull()
-        flags[f"_new_{s.name}"] = hit & ~there if s.insert else F.lit(False)
-        flags[f"_hit_{s.name}"] = hit if s.insert else hit & there
+        added[f"_new_{s.name}"] = hit & ~there if s.insert else F.lit(False)
+        added[f"_hit_{s.name}"] = hit if s.insert else hit & there
+        added |= {f"_const_{s.name}_{c}": v for c, v in s.constants.items()}
         if s.insert:
-            inserted_by = F.when(hit & ~there, F.lit(s.name)).otherwise(inserted_by)
             there = there | hit
-    joined = joined.where(there).withColumns(flags)
+    types = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
+    joined = joined.where(there).withColumns(added)
 
-    def value(s: MergeSource, c: str, row: str) -> Column:
-        return s.constants[c] if c in s.constants else F.col(row)[c]
+    def value(s: MergeSource, c: str, row: str) -> str:
+        return f"`_const_{s.name}_{c}`" if c in s.constants else f"`{row}`.`{c}`"
 
-    def folded(c: str) -> Column:
-        branches: list[tuple[Column, Column]] = []
+    def folded(c: str) -> str:
+        branches = []
         for s in sources:
             if c in s.update:
-                branches.append((F.col(f"_hit_{s.name}"), value(s, c, s.last)))
+                branches.append(f"WHEN `_hit_{s.name}` THEN {value(s, c, s.last)}")
             elif c in s.insert:
-                branches.append((F.col(f"_new_{s.name}"), value(s, c, s.first)))
+                branches.append(f"WHEN `_new_{s.name}` THEN {value(s, c, s.first)}")
         if not branches:
-            return F.col(c)
+            return f"`{c}`"
         # the last source to write wins, so its branch is tried first
-        branches.reverse()
-        chain = F.when(*branches[0])
-        for condition, v in branches[1:]:
-            chain = chain.when(condition, v)
-        return chain.otherwise(F.col(c)).cast(joined.schema[c].dataType).alias(c)
+        chain = " ".join(reversed(branches))
+        return f"CAST(CASE {chain} ELSE `{c}` END AS {types[c]}) AS `{c}`"
 
-    out = [F.col(c) if c in keys else folded(c) for c in columns if c != INSERTED_BY]
+    out = [f"`{c}`" if c in keys else folded(c) for c in columns if c != INSERTED_BY]
     if tally:
-        before = F.col(INSERTED_BY) if INSERTED_BY in columns else F.lit(None)
-        out.append(F.coalesce(before.cast("string"), inserted_by).alias(INSERTED_BY))
-        for s in sources:
-            hit = F.col(f"_hit_{s.name}")
-            out.append(F.when(hit, F.col(s.count)).alias(rows_column(s.name)))
-    return joined.select(*out)
+        inserted = " ".join(f"WHEN `_new_{s.name}` THEN '{s.name}'" for s in sources)
+        before = f"`{INSERTED_BY}`" if INSERTED_BY in columns else "NULL"
+        out.append(f"coalesce({before}, CASE {inserted} END) AS `{INSERTED_BY}`")
+        out += [
+            f"CASE WHEN `_hit_{s.name}` THEN `{s.count}` END AS `{rows_column(s.name)}`"
+            for s in sources
+        ]
+    return joined.selectExpr(*out)
 
 
 def _keyless(source: MergeSource, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a NULL key match nothing, so each is an insert of its own."""
-    def value(c: str) -> Column:
-        if c not in source.insert:
-            v: Column = F.lit(None)
-        else:
-            v = source.constants[c] if c in source.constants else F.col(c)
-        return v.cast(target.schema[c].dataType).alias(c)
-
-    return source.rows.where(~has_all(keys)).select(*[value(c) for c in target.columns])
+    rows = source.rows.where(~has_all(keys)).withColumns(source.constants)
+    return rows.selectExpr(
+        *[
+            f"CAST({f'`{f.name}`' if f.name in source.insert else 'NULL'} AS "
+            f"{f.dataType.simpleString()}) AS `{f.name}`"
+            for f in target.schema.fields
+        ]
+    )
 
 
 def merge(
