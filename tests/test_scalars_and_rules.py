@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldweave import functions as G
+from goldweave import session
 from goldweave.operators import (
     Rule,
     castable,
@@ -113,3 +114,22 @@ def test_size_check(spark):
     assert not fits_in_memory(rows, max_rows=99)
     assert not fits_in_memory(rows, rows, max_rows=150)
     assert not fits_in_memory(rows, max_bytes=9999)
+
+
+class Settings:
+    """Stands for a session of which only the settings are read."""
+
+    def __init__(self, **values):
+        self.values = {k.replace("_", "."): v for k, v in values.items()}
+        self.conf = self
+
+    def get(self, name, default=None):
+        return self.values.get(name, default)
+
+
+def test_shared_folder():
+    assert session.shared_folder(Settings(spark_checkpoint_dir="/shared/x/")) == "/shared/x"
+    local = Settings(spark_master="local[4]")
+    assert session.shared_folder(local) == session.shared_folder(local)
+    with pytest.raises(ValueError, match="share"):
+        session.shared_folder(Settings(spark_master="yarn"))
