@@ -5,12 +5,19 @@ The expressions below are plain SQL that Spark and the checking engine read alik
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from goldweave import schema as S
+from goldweave import session
 from goldweave.checks.incremental import DUE, windows
 from goldweave.checks.registry import SqlSource, merge_sql, query, table
-from goldweave.plans.item_load import LoadInputs, caught_up, plan_load
+from goldweave.operators.quarantine import as_rejects, not_null
+from goldweave.plans.item_load import FEED as FEED_STEP
+from goldweave.plans.item_load import KEY_RULES, LoadInputs, caught_up, plan_load
+from goldweave.sources.snapshot import Store, append_rejects
 
 USER, SOURCE = "loader", "R"
 _RUN = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -195,3 +202,24 @@ for _mode in ("A", "B", "C"):
 def item_load_duplicates(spark, d):
     duplicates = plan_load(_inputs(spark, d, "C")).rejects["duplicates"]
     return duplicates.select("item_id", "revision", "description", "sys_err_code")
+
+
+@query(
+    "published_rejects",
+    "SELECT item_id, revision, name, eol_date, CAST(1400 AS BIGINT) AS sys_err_code, "
+    "'hazard is missing' AS sys_err_mesg, 'INSERT' AS sys_nc_type, sys_source, "
+    "'ACTIVE' AS sys_ent_state, 'feed' AS step, TIMESTAMP '2024-02-01 00:00:00' AS sys_creation_date "
+    f"FROM ({_FEED_SQL}) WHERE sys_source = '{SOURCE}' AND hazard IS NULL",
+)
+def published_rejects(spark, d):
+    """Rejected feed rows in the reject table's shape, written, committed and read back."""
+    i = _inputs(spark, d, "B")
+    plan = plan_load(replace(i, feed_rules=[*KEY_RULES, not_null(1400, "hazard")]))
+    run_id = uuid.uuid4().hex
+    store = Store(spark, f"{session.shared_folder(spark)}/goldweave-checks/{run_id}")
+    rejects = as_rejects(plan.rejects[FEED_STEP], FEED_STEP, run_id, i.run_ts, SOURCE)
+    store.commit([append_rejects(rejects, store, run_id)], run_id)
+    return store.read_all("err_item", S.REJECT_SCHEMA).select(
+        "item_id", "revision", "name", "eol_date", "sys_err_code", "sys_err_mesg", "sys_nc_type",
+        "sys_source", "sys_ent_state", "step", "sys_creation_date",
+    )

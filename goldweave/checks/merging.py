@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from goldweave import session
 from goldweave.checks.registry import SqlSource, merge_sql, query, ranked, table
 from goldweave.operators import (
     MergeSource,
@@ -18,7 +21,8 @@ from goldweave.operators import (
 )
 from goldweave.operators.normalize import message_insert_defaults
 from goldweave.operators.sizing import fits_in_memory
-from goldweave.sources import lookup_one, of_source
+from goldweave.plans.audit import Audit, read_audit, step_states
+from goldweave.sources import lookup_one, of_source, source_count
 
 KEYS = ["item", "line"]
 COLUMNS = ["item", "line", "status", "price", "priority", "shipped"]
@@ -301,6 +305,31 @@ def step_counts(spark, d):
     return merge_counts(merge(master(spark, d), [source], KEYS, tally=True), ["feed"])
 
 
+@query(
+    "audit_steps",
+    f"WITH m AS ({_MASTER}), f AS ({_FEED}), k AS (SELECT DISTINCT item, line FROM f), "
+    "n AS (SELECT count(*) AS n FROM k), u AS (SELECT count(*) AS n FROM k JOIN m USING (item, line)) "
+    "SELECT 'MERGE' AS step_type, 'Merge the lines' AS text, 'MERGE SUCCEEDED' AS status, "
+    "(SELECT count(*) FROM f) AS rows_in, (SELECT count(*) FROM f) AS rows_merged, "
+    "n.n - u.n AS rows_inserted, u.n AS rows_updated FROM n, u",
+)
+def audit_steps(spark, d):
+    """A step opened and closed around a merge, with the counts of what it did."""
+    rows = feed(spark, d)
+    run_id = uuid.uuid4().hex
+    audit = Audit(spark, f"{session.shared_folder(spark)}/goldweave-checks/{run_id}", run_id, None, "s")
+    step = audit.start("MERGE", "Merge the lines", source_count(rows).first()["in_rows"])
+    source = MergeSource("feed", rows, update=UPDATE_A, insert=COLUMNS)
+    merged = merge(master(spark, d), [source], KEYS, tally=True)
+    done = merge_counts(merged, ["feed"]).first()
+    audit.end(
+        step, "MERGE SUCCEEDED", rows_in=done["feed_merged"], rows_merged=done["feed_merged"],
+        rows_inserted=done["feed_inserted"], rows_updated=done["feed_updated"],
+    )
+    columns = ["step_type", "text", "status", "rows_in", "rows_merged", "rows_inserted", "rows_updated"]
+    return step_states(read_audit(spark, audit.path)).select(*columns)
+
+
 @query(
     "observed_counts",
     "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag",

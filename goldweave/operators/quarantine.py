@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldweave import schema as S
-from goldweave.functions import is_bad_offset_date, timestamp_text
+from goldweave.functions import is_bad_offset_date
 
 BROKEN = "_broken"
 
@@ -107,8 +107,8 @@ def as_rejects(
         "sys_nc_type": F.lit("INSERT"),
         "sys_ent_state": F.lit(S.ACTIVE),
         "sys_source": F.lit(source),
-        S.CREATED: timestamp_text(run_ts),
-        S.MODIFIED: timestamp_text(run_ts),
+        S.CREATED: run_ts,
+        S.MODIFIED: run_ts,
     }
 
     def column(f) -> str:

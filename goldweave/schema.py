@@ -124,7 +124,7 @@ MESSAGE_SCHEMA = _struct(
 MASTER_SCHEMA = _struct(MASTER_COLUMNS, **_types(T.TimestampType()))
 
 REJECT_EXTRA = ["sys_err_code", "sys_err_mesg", "sys_nc_type", "item_class"]
-# One shape for every step's rejects. Dates are kept as text: a rejected date
+# One shape for every step's rejects. Feed dates are kept as text: a rejected one
 # may be one that does not parse.
 REJECT_SCHEMA = T.StructType(
     _struct(MASTER_COLUMNS, **_types(T.StringType())).fields
