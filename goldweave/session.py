@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,23 +21,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="goldweave-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else the warehouse.
 
-    Only a local session without that setting (a test) gets a folder of its own;
-    on a cluster it has to be one that every executor can reach.
+    Both are resolved by Spark's file systems, so every executor reaches them.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _local_folder()
-    return folder.rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that was never used before."""
+    return f"{shared_folder(spark)}/goldweave/{name}-{uuid.uuid4().hex}"
 
 
 def staged(rows: DataFrame, name: str) -> DataFrame:
@@ -47,6 +41,6 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     A lost executor then costs a read of the table, not the work that led to it.
     """
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/goldweave/{name}"
-    rows.write.mode("overwrite").parquet(path)
+    path = scratch(spark, name)
+    rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from goldweave.checks import QUERIES, SQL
 from compare import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,16 +17,16 @@ def connection():
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     _, rows, verdict = compare(
-        spark, connection, FOLDER, name, entry.queries()[name], entry.oracle_sql().get(name)
+        spark, connection, FOLDER, name, QUERIES[name], SQL.get(name)
     )
     assert verdict == "ok"
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
