@@ -131,6 +131,24 @@ def _joined(spans: Column, i: Column, total: Column, w: int, most: int) -> Colum
             .otherwise(F.concat(spans, F.array(own))))
 
 
+def _wanted(kind: CharacterClass, allowed: Sequence[str]):
+    def test(x: Column) -> Column:
+        ok = F.lit(True)
+        for need in kind.needs:
+            ok &= x["m"].rlike(need)
+        for rule in allowed:
+            ok &= ~x["m"].rlike(rule)
+        return ok
+
+    return test
+
+
+def _spread(kind: CharacterClass):
+    """Entropy spans of a candidate, as offsets in the text."""
+    return lambda x: F.transform(entropy_spans(x["m"], kind), lambda s: F.struct(
+        (s["start"] + x["s"]["start"]).alias("start"), (s["end"] + x["s"]["start"]).alias("end")))
+
+
 def find_secrets(rows: DataFrame, classes: Sequence[CharacterClass] = CLASSES,
                  allowed: Sequence[str] = ALLOWED, id_col: str = "doc_id",
                  text_col: str = "text", keep_text: bool = False) -> DataFrame:
@@ -164,21 +182,9 @@ def find_secrets(rows: DataFrame, classes: Sequence[CharacterClass] = CLASSES,
             listed(1, F.col("s1")), listed(2, F.col("s2"))]
     more = []
     for k, kind in enumerate(classes, start=len(known)):
-        def wanted(x: Column, kind: CharacterClass = kind) -> Column:
-            ok = F.lit(True)
-            for need in kind.needs:
-                ok &= x["m"].rlike(need)
-            for rule in allowed:
-                ok &= ~x["m"].rlike(rule)
-            return ok
-
-        def spread(x: Column, kind: CharacterClass = kind) -> Column:
-            return F.transform(entropy_spans(x["m"], kind), lambda s: F.struct(
-                (s["start"] + x["s"]["start"]).alias("start"),
-                (s["end"] + x["s"]["start"]).alias("end")))
-
-        pairs = F.filter(F.arrays_zip(F.col(f"s{k}").alias("s"), F.col(f"m{k}").alias("m")), wanted)
-        more.append(listed(k, F.flatten(F.transform(pairs, spread))))
+        pairs = F.filter(F.arrays_zip(F.col(f"s{k}").alias("s"), F.col(f"m{k}").alias("m")),
+                         _wanted(kind, allowed))
+        more.append(listed(k, F.flatten(F.transform(pairs, _spread(kind)))))
     kept = ["id", "text"] if keep_text else ["id"]
     return step.select(*kept, F.array_sort(F.concat(*base)).alias("base"),
                        *[m.alias(f"e{k}") for k, m in enumerate(more)]) \
