@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweave.llm import byte_bpe, quality, secrets, token_counts, token_files
+from goldweave.llm import byte_bpe, quality, secrets, spotsigs, token_counts, token_files, warc
 from goldweave.llm.tables import read
 from goldweave.session import scratch
 
@@ -154,3 +154,50 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = byte_bpe.encode_documents(read(spark, folder, "documents"), ranks, pattern)
     return byte_bpe.decode_documents(encoded, ranks, pattern, digest=True)
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, encode(coalesce(html, '')) AS b FROM pages),
+m AS (SELECT page_id, octet_length(b) AS n, sha1(h) AS d FROM p),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS f FROM m),
+bits AS (SELECT page_id, n, f, d, list_reduce(list_transform(range(32), lambda k: substr(
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(concat('0b', substr(list_reduce(list_transform(
+  range(1, 41), lambda j: lpad(bin(CAST(concat('0x', substr(d, j, 1)) AS INTEGER)), 4, '0')),
+  lambda x, y: x || y), 5 * k + 1, 5)) AS INTEGER), 1)), lambda x, y: x || y) AS b32 FROM r)
+SELECT page_id, n AS payload_bytes, b32 AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to FROM bits""")
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_warc(read(spark, folder, "pages"), path)
+    return warc.read_warc(spark, path).drop("problem")
+
+
+def _spot_sql() -> str:
+    anchors = "|".join(sorted(spotsigs.ANCHORS))
+    groups = rf"regexp_extract_all(trim(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), '(?:(?:{anchors}) )*[^ ]+')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id DESC),
+  first_value(t) OVER (ORDER BY doc_id DESC)) AS o, length(t) // 2 AS h FROM d),
+e AS (SELECT doc_id, t, o, substr(t, 1, length(t) - h) || substr(o, 1, h) AS e FROM n),
+every AS (SELECT DISTINCT x FROM (SELECT t AS x FROM e UNION ALL SELECT e FROM e)),
+g AS (SELECT x, {groups} AS gs FROM every),
+r AS (SELECT x, unnest(gs) AS own, unnest(list_append(gs[2:], '')) AS after FROM g),
+c AS (SELECT x, contains(own, ' ') AS spot, max(contains(own, ' ')) OVER (PARTITION BY x) AS spots,
+  substr(md5(CASE WHEN contains(own, ' ') THEN array_to_string(string_split(own, ' ')[-2:], ' ')
+    ELSE own END || ' ' || string_split(after, ' ')[-1]), 1, {spotsigs.DIGITS}) AS s FROM r),
+sets AS (SELECT x, list_sort(list(DISTINCT s)) AS v FROM c WHERE spot = spots GROUP BY x),
+j AS (SELECT doc_id, length(t) AS n_chars, sha256(e) AS edited_sha256, coalesce(a.v, []) AS a,
+  coalesce(b.v, []) AS b, coalesce(k.v, []) AS k FROM e LEFT JOIN sets a ON a.x = t
+  LEFT JOIN sets b ON b.x = e LEFT JOIN sets k ON k.x = o),
+l AS (SELECT *, len(list_intersect(a, b)) AS ab, len(list_intersect(a, k)) AS ak FROM j)
+SELECT doc_id, n_chars, edited_sha256, array_to_string(a, '') AS fingerprint,
+  array_to_string(b, '') AS edited_fingerprint,
+  CASE WHEN a = b THEN 1.0::DOUBLE ELSE ab / (len(a) + len(b) - ab) END AS near_edited,
+  CASE WHEN a = k THEN 1.0::DOUBLE ELSE ak / (len(a) + len(k) - ak) END AS near_next FROM l"""
+
+
+@query(_spot_sql())
+def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.compare_edited(read(spark, folder, "documents"))
