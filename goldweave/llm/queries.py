@@ -174,7 +174,7 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _spot_sql() -> str:
-    anchors = "|".join(sorted(spotsigs.ANCHORS))
+    anchors = "|".join(sorted(spotsigs.ANCHORS, key=len, reverse=True))
     groups = rf"regexp_extract_all(trim(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), '(?:(?:{anchors}) )*[^ ]+')"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),

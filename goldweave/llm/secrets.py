@@ -94,10 +94,11 @@ def entropy_spans(candidate: Column, kind: CharacterClass) -> Column:
     most = math.floor(w * (math.log2(w) - kind.bits) * _SCALE)
     codes = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(kind.alphabet), c))
     # Each step is the character that comes in and, once the window is full, the one to go.
-    steps = F.transform(codes, lambda c, i: F.struct(
-        c.alias("come"),
-        F.when(i >= w, F.element_at(codes, F.greatest(i - w + 1, F.lit(1)))).otherwise(0)
-        .alias("go"), i.alias("i")))
+    gone_by = F.concat(F.array_repeat(F.lit(0), w), codes)
+    steps = F.transform(
+        F.zip_with(codes, F.slice(gone_by, F.lit(1), F.length(candidate)), lambda come, go: F.struct(
+            come.alias("come"), go.alias("go"))),
+        lambda x, i: F.struct(x["come"].alias("come"), x["go"].alias("go"), i.alias("i")))
     zero = F.struct(
         F.array_repeat(F.lit(0), len(kind.alphabet)).alias("counts"),
         F.lit(0).cast("long").alias("total"), F.array().cast(_SPAN).alias("spans"))
@@ -186,10 +187,10 @@ def find_secrets(rows: DataFrame, classes: Sequence[CharacterClass] = CLASSES,
                          _wanted(kind, allowed))
         more.append(listed(k, F.flatten(F.transform(pairs, _spread(kind)))))
     kept = ["id", "text"] if keep_text else ["id"]
-    return step.select(*kept, F.array_sort(F.concat(*base)).alias("base"),
+    return step.select(*kept, F.sort_array(F.concat(*base)).alias("base"),
                        *[m.alias(f"e{k}") for k, m in enumerate(more)]) \
         .select(F.col("id").alias(id_col), *kept[1:], "base",
-                F.array_sort(F.concat("base", *[f"e{k}" for k in range(len(more))])).alias("found"))
+                F.sort_array(F.concat("base", *[f"e{k}" for k in range(len(more))])).alias("found"))
 
 
 def span_text(spans: Column) -> Column:

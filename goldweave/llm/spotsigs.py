@@ -28,33 +28,53 @@ DIGITS = 8
 CHAIN = 2
 
 
-def signatures(text: Column, anchors: Sequence[str] = ANCHORS) -> Column:
-    """The sorted distinct signatures of a text, each as hexadecimal digits of a hash.
+def _any_of(words: Sequence[str]) -> str:
+    """A pattern for the words, by first letter, so that few branches are tried per word."""
+    by_first: dict[str, list[str]] = {}
+    for w in sorted(words, reverse=True):
+        by_first.setdefault(w[0], []).append(w[1:])
+    return "|".join(f"{k}(?:{'|'.join(rest)})" for k, rest in sorted(by_first.items()))
+
+
+def with_signatures(rows: DataFrame, columns: dict[str, str],
+                    anchors: Sequence[str] = ANCHORS) -> DataFrame:
+    """The rows with the sorted distinct signatures of text columns; ``columns``: new by text.
 
     Words are runs of letters and digits in lower case. Every content word carries the anchors
-    right before it; the last of these, the word and the next content word are a signature. A
-    text in which no anchor is followed by a content word uses all its words as if anchored.
+    right before it; the last of these, the word and the next content word are a signature, kept
+    as hexadecimal digits of a hash. A text in which no anchor is followed by a content word
+    uses all its words as if anchored.
+
+    Each step is a projection of its own, as Spark would otherwise evaluate the longer ones
+    once for each use.
     """
-    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    groups = F.regexp_extract_all(
-        plain, F.lit(rf"(?:(?:{'|'.join(sorted(anchors))}) )*[^ ]+"), F.lit(0))
-    return _sets(groups)
+    groups = F.lit(rf"(?:(?:{_any_of(anchors)}) )*[^ ]+")
 
+    def cut(text: str) -> Column:
+        plain = F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " "))
+        return F.regexp_extract_all(plain, groups, F.lit(0))
 
-def _sets(groups: Column) -> Column:
     def word(g: Column) -> Column:
         return F.substring_index(g, " ", -1)
 
-    following = F.concat(F.slice(groups, 2, F.size(groups)), F.array(F.lit("")))
-    pairs = F.arrays_zip(groups.alias("own"), following.alias("next"))
+    def paired(g: str) -> Column:
+        own = F.col(g)
+        return F.zip_with(own, F.slice(own, 2, F.size(own)), lambda x, y: F.struct(
+            F.contains(x, F.lit(" ")).alias("spot"), F.concat_ws(
+                " ", F.substring_index(x, " ", -CHAIN), F.coalesce(word(y), F.lit(""))).alias("sig")))
 
-    def signed(x: Column) -> Column:
-        return F.substring(F.md5(F.concat_ws(
-            " ", F.substring_index(x["own"], " ", -CHAIN), word(x["next"]))), 1, DIGITS)
+    def signed(g: str) -> Column:
+        # The count stays outside of the lambda, or it would be taken for each element.
+        spots = F.when(F.col(f"n_{g}") > 0, F.filter(g, lambda x: x["spot"])).otherwise(F.col(g))
+        return F.sort_array(F.array_distinct(F.transform(
+            spots, lambda x: F.substring(F.md5(x["sig"]), 1, DIGITS))))
 
-    spots = F.filter(pairs, lambda x: F.contains(x["own"], F.lit(" ")))
-    return F.array_sort(F.array_distinct(F.transform(
-        F.when(F.size(spots) > 0, spots).otherwise(pairs), signed)))
+    kept = [c for c in rows.columns]
+    step = rows.select(*kept, *[cut(t).alias(n) for n, t in columns.items()])
+    step = step.select(*kept, *[paired(n).alias(n) for n in columns])
+    step = step.select(*kept, *columns, *[
+        F.size(F.filter(n, lambda x: x["spot"])).alias(f"n_{n}") for n in columns])
+    return step.select(*kept, *[signed(n).alias(n) for n in columns])
 
 
 def fingerprint(found: Column) -> Column:
@@ -96,7 +116,7 @@ def similar_pairs(sets: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     frequency = classes.select(F.explode("s").alias("g")).groupBy("g").agg(F.count("*").alias("df"))
     listed = classes.select("class", F.explode("s").alias("g")).join(frequency, "g")
     rare = listed.groupBy("class").agg(
-        F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o")).select("class", "o")
+        F.sort_array(F.collect_list(F.struct("df", "g"))).alias("o")).select("class", "o")
     prefix = rare.select(
         "class", F.size("o").alias("n"),
         F.explode(F.slice("o", F.lit(1), F.size("o") - F.ceil(threshold * F.size("o")).cast("int") + 1))
@@ -181,7 +201,7 @@ def fingerprint_documents(rows: DataFrame, anchors: Sequence[str] = ANCHORS,
     """
     picked = pick(rows, id_col, text_col).select(
         F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return picked.withColumn("signatures", signatures(F.col("text"), anchors))
+    return with_signatures(picked, {"signatures": "text"}, anchors)
 
 
 def compare_edited(rows: DataFrame, anchors: Sequence[str] = ANCHORS, id_col: str = "doc_id",
@@ -197,11 +217,9 @@ def compare_edited(rows: DataFrame, anchors: Sequence[str] = ANCHORS, id_col: st
     pairs = next_rows(picked, id_col, ["text"]).select(
         id_col, "text", F.col("next.text").alias("other"))
     made = pairs.withColumn("edited", edited(F.col("text"), F.col("other")))
-    signed = made.select(
-        id_col, F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        signatures(F.col("text"), anchors).alias("own"),
-        signatures(F.col("edited"), anchors).alias("changed"),
-        signatures(F.col("other"), anchors).alias("following"))
+    texts = made.select(id_col, "text", "other", "edited", F.length("text").cast("long").alias("n_chars"),
+                        F.sha2("edited", 256).alias("edited_sha256"))
+    signed = with_signatures(texts, {"own": "text", "changed": "edited", "following": "other"}, anchors)
     return signed.select(
         id_col, "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("changed")).alias("edited_fingerprint"),
