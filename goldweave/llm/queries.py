@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweave.llm import byte_bpe, quality, secrets, spotsigs, token_counts, token_files, warc
+from goldweave.llm import byte_bpe, jaccard, quality, secrets, spotsigs, token_counts, token_files, warc
 from goldweave.llm.tables import read
 from goldweave.session import scratch
 
@@ -82,6 +82,11 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         secrets.span_text(F.col("found")).alias("spans"))
 
 
+@query()
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, folder, "documents"))
+
+
 @query()
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "tokens")
