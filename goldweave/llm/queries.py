@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweave.llm import byte_bpe, jaccard, quality, secrets, spotsigs, token_counts, token_files, warc
+from goldweave.llm import (
+    byte_bpe, jaccard, licenses, packing, quality, secrets, spotsigs, token_counts, token_files, warc,
+)
 from goldweave.llm.tables import read
 from goldweave.session import scratch
 
@@ -148,12 +150,23 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept")
 
 
+@query()
+def op5_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digest(packing.pack(
+        read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1))
+
+
 @query()
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(
         read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op7_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, folder, "documents"))
+
+
 @query()
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -206,3 +219,10 @@ SELECT doc_id, n_chars, edited_sha256, array_to_string(a, '') AS fingerprint,
 @query(_spot_sql())
 def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.compare_edited(read(spark, folder, "documents"))
+
+
+@query()
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline  # stands outside of the package, and imports from it
+
+    return corpus_pipeline.run(spark, folder)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldweave.llm.tables import texts
+from goldweave.llm.tables import pick
 
 # Fixed patterns and their names, in the order in which spans that start together are listed.
 ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)"
@@ -152,7 +152,8 @@ def _spread(kind: CharacterClass):
 
 def find_secrets(rows: DataFrame, classes: Sequence[CharacterClass] = CLASSES,
                  allowed: Sequence[str] = ALLOWED, id_col: str = "doc_id",
-                 text_col: str = "text", keep_text: bool = False) -> DataFrame:
+                 text_col: str = "text", keep_text: bool = False,
+                 carry: Sequence[str] = ()) -> DataFrame:
     """One row per input row: the id, ``base`` and ``found``, arrays of (start, rank, kind, end).
 
     ``base`` has the spans of the fixed patterns (``assign`` with a value of six characters or
@@ -161,14 +162,17 @@ def find_secrets(rows: DataFrame, classes: Sequence[CharacterClass] = CLASSES,
     spans of fixed patterns always stay. Both are ordered by start, then by kind as listed.
 
     A null or empty text has no spans. Null ids, equal ids and repeated rows are searched like
-    any other row; an empty table gives an empty one; other columns are left out.
+    any other row; an empty table gives an empty one; other columns are left out, but for the
+    text with ``keep_text`` and those in ``carry``.
     """
     known = [("assign", ASSIGN), ("access", ACCESS), ("hex", HEX)]
     patterns = known + [(c.name, c.pattern) for c in classes]
-    step = texts(rows, id_col, text_col)
-    step = step.select("id", "text", *[
+    step = pick(rows, id_col, text_col, *carry).select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *carry)
+    step = step.select("id", "text", *carry, *[
         _found(F.col("text"), p).alias(f"m{k}") for k, (_, p) in enumerate(patterns)])
-    step = step.select("id", "text", *[c for k, (_, p) in enumerate(patterns) for c in (
+    step = step.select("id", "text", *carry, *[c for k, (_, p) in enumerate(patterns) for c in (
         F.col(f"m{k}"), _placed(F.col("text"), F.col(f"m{k}"), p).alias(f"s{k}"))])
 
     def listed(k: int, spans: Column) -> Column:
@@ -186,7 +190,7 @@ def find_secrets(rows: DataFrame, classes: Sequence[CharacterClass] = CLASSES,
         pairs = F.filter(F.arrays_zip(F.col(f"s{k}").alias("s"), F.col(f"m{k}").alias("m")),
                          _wanted(kind, allowed))
         more.append(listed(k, F.flatten(F.transform(pairs, _spread(kind)))))
-    kept = ["id", "text"] if keep_text else ["id"]
+    kept = ["id", *(["text"] if keep_text else []), *carry]
     return step.select(*kept, F.sort_array(F.concat(*base)).alias("base"),
                        *[m.alias(f"e{k}") for k, m in enumerate(more)]) \
         .select(F.col("id").alias(id_col), *kept[1:], "base",
