@@ -6,6 +6,7 @@ tokenizer itself, and the ids of a text are gathered from those of its chunks.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -19,24 +20,22 @@ import pyarrow.compute as pc
 _SPACES = "\t-\r\x1c-\x1f \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
 _TWO_SPACES = r"[\pZ\s\x0b\x1c-\x1f\x85][\pZ\s\x0b\x1c-\x1f\x85]|[\x00\x1c-\x1f]"
-_PUNCTUATION = frozenset(".,;:!?")
+_PUNCTUATION = frozenset(".,;:!?")  # the empty string is no member
 
 SLICE_BYTES = 8 << 20
 ENCODE_BYTES = 64 << 10
 CACHE_ENTRIES = 400_000
 
 
-def by_bytes(items: Sequence[str], limit: int) -> Iterator[list[str]]:
-    """Consecutive groups of about the same number of characters; a long item is one group."""
-    group, size = [], 0
-    for item in items:
-        if group and size + len(item) > limit:
-            yield group
-            group, size = [], 0
-        group.append(item)
-        size += len(item)
-    if group:
-        yield group
+def by_bytes(items: list[str], limit: int) -> Iterator[list[str]]:
+    """Consecutive groups of about ``limit`` characters; a long item is one group."""
+    ends = np.cumsum(np.fromiter(map(len, items), np.int64, len(items)))
+    start = 0
+    while start < len(items):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield items[start:stop]
+        start = stop
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
@@ -72,37 +71,46 @@ class ChunkEncoder:
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(4096, np.uint32), 0
 
-    def _put(self, word: str, ids: Sequence[int]) -> None:
-        k, n = len(self.slot), len(ids)
-        if k == len(self.starts):
-            self.starts, self.lengths = np.resize(self.starts, 2 * k), np.resize(self.lengths, 2 * k)
-        if self.used + n > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * (self.used + n))
-        self.slot[word], self.starts[k], self.lengths[k] = k, self.used, n
-        self.pool[self.used:self.used + n] = ids
-        self.used += n
+    def _put(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Keep the ids of new words, given one after another."""
+        k, n = len(self.slot), len(words)
+        if k + n > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * (k + n))
+            self.lengths = np.resize(self.lengths, 2 * (k + n))
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * (self.used + len(ids)))
+        self.slot.update(zip(words, range(k, k + n), strict=True))
+        self.lengths[k:k + n] = lengths
+        self.starts[k:k + n] = self.used + np.cumsum(lengths) - lengths
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def _learn(self, words: list[str]) -> None:
         """Encode what is missing; a word and the mark that ends it are encoded apart."""
-        cores: dict[str, None] = {}
-        ended = []
-        for w in words:
-            if self.spaces != "whole" and len(w) > 1 and w[-1] in _PUNCTUATION and w[-2].isalpha():
-                ended.append(w)
-                for part in (w[:-1], w[-1]):
-                    if part not in self.slot:
-                        cores[part] = None
-            elif w not in self.slot:
-                cores[w] = None
-        for group in by_bytes(list(cores), ENCODE_BYTES):
-            for word, ids in zip(group, self.encode(group), strict=True):
-                self._put(word, ids)
-        for w in ended:
-            self._put(w, np.concatenate([self._ids(w[:-1]), self._ids(w[-1])]))
-
-    def _ids(self, word: str) -> np.ndarray:
-        k = self.slot[word]
-        return self.pool[self.starts[k]:self.starts[k] + self.lengths[k]]
+        ended = [] if self.spaces == "whole" else [
+            w for w in words if w[-1:] in _PUNCTUATION and w[-2:-1].isalpha()]
+        heads, marks = [w[:-1] for w in ended], [w[-1] for w in ended]
+        plain = words if not ended else [
+            w for w in words if not (w[-1:] in _PUNCTUATION and w[-2:-1].isalpha())]
+        new = [w for w in dict.fromkeys([*plain, *heads, *marks]) if w not in self.slot]
+        for group in by_bytes(new, ENCODE_BYTES):
+            found = self.encode(group)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
+            self._put(group, ids, lengths)
+        if ended:
+            parts = np.empty(2 * len(ended), np.int64)
+            parts[0::2] = np.fromiter(map(self.slot.__getitem__, heads), np.int64, len(heads))
+            parts[1::2] = np.fromiter(map(self.slot.__getitem__, marks), np.int64, len(marks))
+            lengths = self.lengths[parts]
+            self._put(ended, self._gather(parts), lengths[0::2] + lengths[1::2])
+
+    def _gather(self, slots: np.ndarray) -> np.ndarray:
+        """The ids of the slots, one after another."""
+        lengths = self.lengths[slots]
+        ends = np.cumsum(lengths)
+        place = np.arange(ends[-1] if len(ends) else 0)
+        return self.pool[place + np.repeat(self.starts[slots] - ends + lengths, lengths)]
 
     def _chunks(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All chunks in order, and the number of chunks of each text."""
@@ -155,11 +163,9 @@ class ChunkEncoder:
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
         slots, counts = self._slots(column)
-        lengths = self.lengths[slots]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        place = np.arange(total[-1]) + np.repeat(self.starts[slots] - total[:-1], lengths)
+        total = np.concatenate([[0], np.cumsum(self.lengths[slots])])
         ends = np.cumsum(counts)
-        return self.pool[place], total[ends] - total[ends - counts]
+        return self._gather(slots), total[ends] - total[ends - counts]
 
 
 @lru_cache(maxsize=2)

@@ -85,7 +85,7 @@ def restore_planes(data: bytes) -> np.ndarray:
 
 
 def write_tokens(rows: DataFrame, path: str, tokenizer: str, spaces: str, end_id: int | None = None,
-                 id_col: str = "doc_id", text_col: str = "text", bits: int = 1,
+                 id_col: str = "doc_id", text_col: str = "text", bits: int = 8,
                  chunk_ids: int = CHUNK_IDS) -> None:
     """Encode every text, append ``end_id``, and write chunks in ascending order of the id.
 
