@@ -114,6 +114,12 @@ def occurrences(words: list[str], template: list[str], coverage: float) -> list[
             # In a long stretch, go by windows of twice the template's length.
             window = part[:2 * n + GAP] if len(part) > 3 * n + GAP else part
             pairs = align(template, window)
+            if len(pairs) >= need and len(window) < len(part):
+                # The window may cut the place off: look again around where it was found.
+                shift = max(0, pairs[-1][1] - n - GAP)
+                again = align(template, part[shift:shift + 3 * n + GAP])
+                if len(again) > len(pairs):
+                    pairs = [(i, j + shift) for i, j in again]
             if len(pairs) >= need:
                 first, last = start + pairs[0][1], start + pairs[-1][1]
                 out.append((first, last, len(pairs)))
@@ -139,8 +145,6 @@ def scan_licenses(rows: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     any other row; an empty table gives an empty one; other columns are left out.
     """
     known = {name: _WORD.findall(t.lower()) for name, t in templates.items()}
-    # A find needs this word or the next ones: the rarest words come first, and a template
-    # can miss fewer words than these.
     out = schema(id_type(rows, id_col), "n_found long, best string, best_coverage double, found "
                  "array<struct<name:string,start:long,end:long,coverage:double>>", id_col)
     place = pa.list_(pa.struct([("name", pa.string()), ("start", pa.int64()), ("end", pa.int64()),

@@ -1,0 +1,41 @@
+"""Patience alignment and license scans."""
+
+import itertools
+import random
+
+from goldweave.llm import licenses
+
+
+def test_longest_increasing_subsequence():
+    draw = random.Random(1)
+    for _ in range(50):
+        v = draw.sample(range(20), 8)
+        best = max(len(c) for n in range(9) for c in itertools.combinations(v, n) if list(c) == sorted(c))
+        found = [v[i] for i in licenses.longest_increasing(v)]
+        assert found == sorted(found) and len(found) == best
+
+
+def test_alignment_is_increasing_and_recursive():
+    a = "the quick brown the fox jumps over the lazy dog".split()
+    b = "say the quick red the fox gladly jumps over a lazy dog now".split()
+    pairs = licenses.align(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in itertools.pairwise(pairs))
+    assert [a[i] for i, _ in pairs] == "the quick the fox jumps over lazy dog".split()
+
+
+def test_places_of_templates(spark):
+    filler = "und so weiter the of it " * 3000
+    mit = licenses.TEMPLATES["MIT"]
+    rows = [(0, None), (1, ""), (2, "nothing here"), (3, "Released under the MIT License.\nText"),
+            (4, f"{filler}\n{mit.upper()}\n{filler}"), (5, mit.replace("free of charge", "gratis")),
+            (6, "Licensed under CC BY-NC 4.0. Licensed under CC BY-NC 4.0."), (None, "x")]
+    table = spark.createDataFrame([(*r, "y") for r in rows], "doc_id long, text string, found string")
+    found = {r.doc_id: r for r in licenses.scan_licenses(table).collect()}
+    assert [found[i].best for i in range(6)] == [None, None, None, "MIT-notice", "MIT", "MIT"]
+    assert found[6].n_found == 2 and found[6].found[1].start == 29
+    at = found[4].found[0]
+    text = rows[4][1]
+    assert text[at.start:at.end].startswith("PERMISSION") and text[at.start:at.end].endswith("SOFTWARE")
+    assert 0.9 < found[5].best_coverage < 1
+    assert licenses.scan_licenses(table.limit(0)).count() == 0
