@@ -48,20 +48,23 @@ def with_signatures(rows: DataFrame, columns: dict[str, str],
     Each step is a projection of its own, as Spark would otherwise evaluate the longer ones
     once for each use.
     """
-    groups = F.lit(rf"(?:(?:{_any_of(anchors)}) )*[^ ]+")
+    # One anchor at a time: a repeated group would go as deep as the longest run of anchors.
+    anchor = rf"(?<![^ ])({_any_of(anchors)}) "
 
     def cut(text: str) -> Column:
         plain = F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " "))
-        return F.regexp_extract_all(plain, groups, F.lit(0))
+        tied = F.regexp_replace(plain, anchor, "$1_")
+        return F.filter(F.split(tied, " "), lambda g: g != "")
 
     def word(g: Column) -> Column:
-        return F.substring_index(g, " ", -1)
+        return F.substring_index(g, "_", -1)
 
     def paired(g: str) -> Column:
         own = F.col(g)
         return F.zip_with(own, F.slice(own, 2, F.size(own)), lambda x, y: F.struct(
-            F.contains(x, F.lit(" ")).alias("spot"), F.concat_ws(
-                " ", F.substring_index(x, " ", -CHAIN), F.coalesce(word(y), F.lit(""))).alias("sig")))
+            F.contains(x, F.lit("_")).alias("spot"), F.concat_ws(
+                " ", F.translate(F.substring_index(x, "_", -CHAIN), "_", " "),
+                F.coalesce(word(y), F.lit(""))).alias("sig")))
 
     def signed(g: str) -> Column:
         # The count stays outside of the lambda, or it would be taken for each element.
@@ -142,7 +145,7 @@ def similar_pairs(sets: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
         "similarity")
 
 
-def next_rows(rows: DataFrame, id_col: str, columns: Sequence[str], per_bucket: int = 20_000,
+def next_rows(rows: DataFrame, id_col: str, columns: Sequence[str], per_bucket: int = 4_000,
               most_buckets: int = 4096) -> DataFrame:
     """The rows with a column ``next``: a struct of ``columns`` of the next row by descending id.
 

@@ -106,7 +106,8 @@ def test_next_rows_over_many_buckets(spark):
 
 
 def test_fingerprints(spark):
-    texts = ["the cat sat on the mat", None, "", "the cat sat on the mat", "keine anker hier drin wort", "é " * 5000]
+    texts = ["the cat sat on the mat", None, "", "the cat sat on the mat", "keine anker hier drin wort", "é " * 5000,
+             "the " * 60_000]
     rows = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, own string")
     got = {r.doc_id: r for r in spotsigs.compare_edited(rows).collect()}
     for i, t in enumerate(texts):
