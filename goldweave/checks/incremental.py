@@ -24,7 +24,7 @@ _MESSAGES = "SELECT *, CAST(hour(ts) AS BIGINT) AS seq FROM events"
 # the due windows, numbered: six hours each, ended twelve hours before the newest event
 DUE = (
     "SELECT * FROM (SELECT n AS win, TIMESTAMP '2024-01-01' + INTERVAL 6 HOUR * n AS s, "
-    "TIMESTAMP '2024-01-01' + INTERVAL 6 HOUR * (n + 1) AS e FROM range(10000) r(n)) "
+    "TIMESTAMP '2024-01-01' + INTERVAL 6 HOUR * (n + 1) AS e FROM range(CAST((SELECT epoch(max(ts)) - epoch(TIMESTAMP '2024-01-01') FROM events) / 21600 AS BIGINT) + 1) r(n)) "
     "WHERE e + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events)"
 )
 _MAXIMA = (

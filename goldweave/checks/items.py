@@ -7,17 +7,33 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from goldweave import schema as S
 from goldweave import session
 from goldweave.checks.incremental import DUE, windows
-from goldweave.checks.registry import SqlSource, merge_sql, query, table
+from goldweave.checks.registry import SqlSource, merge_sql, query, schema_of, table
 from goldweave.operators.quarantine import as_rejects, not_null
 from goldweave.plans.item_load import FEED as FEED_STEP
-from goldweave.plans.item_load import KEY_RULES, LoadInputs, caught_up, plan_load
-from goldweave.sources.snapshot import Store, append_rejects
+from goldweave.plans.item_load import MESSAGES as MESSAGE_STEP
+from goldweave.plans.item_load import (
+    CONTROL_TABLE,
+    DELETE_PROPERTY,
+    DUPLICATES,
+    FLAGS,
+    KEY_RULES,
+    MASTER_TABLE,
+    LoadInputs,
+    Paths,
+    caught_up,
+    plan_load,
+    reject_constants,
+    run_item_load,
+)
+from goldweave.sources.snapshot import AlreadyCommitted, Store, append_rejects, publish
+from goldweave.streaming.catchup import start_catch_up
 
 USER, SOURCE = "loader", "R"
 _RUN = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -83,7 +99,7 @@ MASTER |= {c: _NO_MEASURE for c in S.MEASURES}
 MASTER |= {c: _NO_TIME for c in [*S.OFFSET_DATES, *S.STAMPS, *S.MESSAGE_DATES]}
 MASTER.update(
     item_id="CAST(o_custkey AS STRING)",
-    revision="CASE WHEN o_orderkey < 0 THEN NULL ELSE CAST(o_orderkey AS STRING) END",
+    revision="CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_orderkey AS STRING) END",
     name="o_orderpriority",
     description="o_orderstatus",
     fga_iso_ctry_code="'OLD'",
@@ -105,12 +121,18 @@ def _list(expressions: dict[str, str]) -> str:
 
 
 _FEED_SQL = f"SELECT {_list(FEED)} FROM lineitem"
-_PARSED_SQL = "SELECT DISTINCT " + _list(
-    FEED
-    | {c: _NO_TIME for c in S.OFFSET_DATES}
-    | PARSED
-    | {c: f"nullif(trim({FEED[c]}), '')" for c in S.TRIMMED}
-) + f" FROM lineitem WHERE l_returnflag = '{SOURCE}'"
+
+
+def _parsed_sql(source: str) -> str:
+    return "SELECT DISTINCT " + _list(
+        FEED
+        | {c: _NO_TIME for c in S.OFFSET_DATES}
+        | PARSED
+        | {c: f"nullif(trim({FEED[c]}), '')" for c in S.TRIMMED}
+    ) + f" FROM lineitem WHERE l_returnflag = '{source}'"
+
+
+_PARSED_SQL = _parsed_sql(SOURCE)
 _MASTER_SQL = (
     f"SELECT {_list({c: MASTER[c] for c in S.MASTER_COLUMNS})} FROM orders UNION ALL "
     f"SELECT {_list({c: PART_MASTER[c] for c in S.MASTER_COLUMNS})} FROM part"
@@ -126,7 +148,9 @@ _WON = (
 _STAMPS = {c: _RUN for c in S.STAMPS}
 
 
-def load_sql(mode: str) -> str:
+def load_sql(
+    mode: str, source: str = SOURCE, delete: bool = True, master: str = _MASTER_SQL, feed: bool = True
+) -> str:
     update, insert = {
         "A": (S.FEED_A_UPDATE, S.FEED_A_INSERT),
         "B": (S.FEED_B_UPDATE, S.FEED_B_INSERT),
@@ -142,11 +166,11 @@ def load_sql(mode: str) -> str:
             SqlSource("b", _WON, S.MESSAGE_UPDATE, S.MESSAGE_INSERT, constants, ["win"], ["win"])
         )
     sources += [
-        SqlSource("f", _PARSED_SQL, update, insert, _STAMPS),
+        SqlSource("f", _parsed_sql(source), update, insert, _STAMPS),
         SqlSource(
-            "g", f"SELECT item_id, is_emc FROM ({_FEED_SQL}) WHERE sys_source = '{SOURCE}'",
+            "g", f"SELECT item_id, is_emc FROM ({_FEED_SQL}) WHERE sys_source = '{source}'",
             ["is_emc", "sys_source", S.MODIFIED], (),
-            {"sys_source": f"'{SOURCE}'", S.MODIFIED: _RUN}, keys=["item_id"],
+            {"sys_source": f"'{source}'", S.MODIFIED: _RUN}, keys=["item_id"],
         ),
         SqlSource(
             "x", f"SELECT item_id, revision FROM ({_FEED_SQL}) WHERE sys_ent_state = 'DELETED'",
@@ -154,8 +178,12 @@ def load_sql(mode: str) -> str:
             {"sys_ent_state": "'DELETED'", S.MODIFIED: _RUN},
         ),
     ]
+    if not delete:
+        sources.pop()
+    if not feed:
+        sources = sources[:1]
     casts = {c: "DOUBLE" for c in S.MEASURES}
-    return merge_sql(_MASTER_SQL, sources, S.KEYS, S.MASTER_COLUMNS, casts)
+    return merge_sql(master, sources, S.KEYS, S.MASTER_COLUMNS, casts)
 
 
 def _inputs(spark, d, mode: str, small: bool = False) -> LoadInputs:
@@ -187,6 +215,144 @@ for _mode in ("A", "B", "C"):
     _load(_mode)
 
 
+@query("item_load_a_small", load_sql("A"))
+def item_load_a_small(spark, d):
+    """The plan for small sources; the outcome is the same."""
+    return plan_load(_inputs(spark, d, "A", small=True)).master.select(*S.MASTER_COLUMNS)
+
+
+class _World:
+    """The job's inputs as Parquet folders, and its store with the master of before."""
+
+    def __init__(self, spark, d, can_delete: str = "Y"):
+        folder = session.scratch(spark, "job")
+        self.spark = spark
+        self.paths = Paths(*[f"{folder}/{n}" for n in (
+            "feed", "changes", "jobs", "properties", "store", "audit")])
+        inputs = _inputs(spark, d, "B")
+        typed(inputs.feed, S.FEED_SCHEMA).write.parquet(self.paths.feed)
+        log = table(spark, d, "events").selectExpr(*[f"{e} AS {c}" for c, e in MESSAGES.items()])
+        typed(log, S.MESSAGE_SCHEMA).write.parquet(self.paths.changes)
+        one = spark.range(1)
+        typed(one.selectExpr("'s' AS job_name", "4 AS job_frequency_per_day"), S.JOB_SCHEMA) \
+            .write.parquet(self.paths.jobs)
+        typed(one.selectExpr(f"'{DELETE_PROPERTY}' AS id", f"'{can_delete}' AS propvalue",
+                             "'ACTIVE' AS sys_ent_state"), S.PROPERTY_SCHEMA) \
+            .write.parquet(self.paths.properties)
+        control = table(spark, d, "events").groupBy().agg(F.max("ts").alias("sync_up_date")).selectExpr(
+            "'s' AS sync_up_id", "TIMESTAMP '2024-01-01 00:00:00' AS start_time",
+            "TIMESTAMP '2024-01-01 06:00:00' AS end_time", "sync_up_date")
+        self.store = Store(spark, self.paths.store)
+        publish(typed(inputs.master, S.MASTER_SCHEMA), self.store, MASTER_TABLE, "seed-master")
+        publish(typed(control, S.CONTROL_SCHEMA), self.store, CONTROL_TABLE, "seed-control")
+
+    def run(self, mode: str, source: str = SOURCE, **options):
+        return run_item_load(self.spark, self.paths, source, "s", run_ts=datetime(2024, 2, 1),
+                             run_user=USER, mode=mode, **options)
+
+    def master(self):
+        return self.store.read(MASTER_TABLE, S.MASTER_SCHEMA)
+
+
+def typed(rows, schema):
+    """Rows in a schema; columns they lack are NULL."""
+    return rows.selectExpr(*[
+        f"CAST({f.name if f.name in rows.columns else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in schema.fields])
+
+
+@query("item_load_run_a", load_sql("A"))
+def item_load_run_a(spark, d):
+    """The whole job with its lookups, control row, audit and publish, into a bucketed master."""
+    w = _World(spark, d)
+    w.run("A", buckets=8)
+    return w.master()
+
+
+@query("item_load_run_b", load_sql("B", delete=False))
+def item_load_run_b(spark, d):
+    """The job where the property does not let it delete, with bad dates as rejects."""
+    w = _World(spark, d, can_delete="N")
+    w.run("B", bad_dates="reject")
+    return w.master()
+
+
+@query("item_load_run_c", load_sql("C"))
+def item_load_run_c(spark, d):
+    w = _World(spark, d)
+    w.run("C")
+    return w.master()
+
+
+@query("item_load_rerun", load_sql("B"))
+def item_load_rerun(spark, d):
+    """The same load once more is refused, and the master stays as published."""
+    w = _World(spark, d)
+    w.run("B")
+    try:
+        w.run("B")
+    except AlreadyCommitted:
+        return w.master()
+    raise AssertionError("a run that was committed ran again")
+
+
+@query("item_load_two_sources", load_sql("B", "A", master=load_sql("B")))
+def item_load_two_sources(spark, d):
+    """Two sources under one sync id and time stamp, one after the other."""
+    w = _World(spark, d)
+    w.run("B")
+    w.run("B", "A")
+    return w.master()
+
+
+@query("stream_merge", load_sql("A", feed=False))
+def stream_merge(spark, d):
+    """Messages into the master by micro-batch."""
+    store = Store(spark, session.scratch(spark, "stream"))
+    publish(typed(_inputs(spark, d, "B").master, S.MASTER_SCHEMA), store, MASTER_TABLE, "seed")
+
+    def shaped(events):
+        return typed(events.selectExpr(*[f"{e} AS {c}" for c, e in MESSAGES.items()]), S.MESSAGE_SCHEMA)
+
+    stream = spark.readStream.schema(schema_of("events")).option("pathGlobFilter", "events.parquet").parquet(d)
+    start_catch_up(
+        shaped(stream), windows(spark, d), store, lambda: shaped(table(spark, d, "events")), name="m",
+        checkpoint=session.scratch(spark, "checkpoint"), run_user=USER,
+        run_ts=lambda: F.lit("2024-02-01 00:00:00").cast("timestamp"),
+    ).awaitTermination()
+    return store.read(MASTER_TABLE, S.MASTER_SCHEMA)
+
+
+@query(
+    "message_rejects",
+    "SELECT item AS item_id, ' ' AS revision, item_description AS name, 'PART' AS item_type, "
+    f"'ACTIVE' AS sys_ent_state, '{USER}' AS sys_created_by, '{USER}' AS sys_last_modified_by, "
+    "CAST(NULL AS VARCHAR) AS sys_source, CAST(1400 AS BIGINT) AS sys_err_code FROM ("
+    f"SELECT x.* FROM (SELECT d.win, l.item, max(l.seq_num) AS seq_num FROM ({DUE}) d JOIN ({_LOG}) l "
+    "ON l.sys_creation_date BETWEEN d.s AND d.e GROUP BY 1, 2) w "
+    f"JOIN (SELECT *, row_number() OVER () AS id FROM ({_LOG})) x ON x.item = w.item AND x.seq_num = w.seq_num "
+    "QUALIFY row_number() OVER (PARTITION BY x.id) = 1) WHERE iso_ctry_code IS NULL",
+)
+def message_rejects(spark, d):
+    i = replace(_inputs(spark, d, "A"), message_rules=[not_null(1400, "fga_iso_ctry_code")])
+    bad = plan_load(i).rejects[MESSAGE_STEP]
+    return as_rejects(bad, MESSAGE_STEP, "r", i.run_ts, reject_constants(MESSAGE_STEP, SOURCE, USER)).select(
+        "item_id", "revision", "name", "item_type", "sys_ent_state", "sys_created_by",
+        "sys_last_modified_by", "sys_source", "sys_err_code")
+
+
+@query(
+    "flag_rejects",
+    f"SELECT item_id, sys_ent_state, '{SOURCE}' AS sys_source, 'flags' AS step FROM ({_FEED_SQL}) "
+    f"WHERE sys_source = '{SOURCE}' AND is_emc IS NULL",
+)
+def flag_rejects(spark, d):
+    i = replace(_inputs(spark, d, "B"), flag_rules=[not_null(1400, "is_emc")])
+    bad = plan_load(i).rejects[FLAGS]
+    return as_rejects(bad, FLAGS, "r", i.run_ts, reject_constants(FLAGS, SOURCE, USER)).select(
+        "item_id", "sys_ent_state", "sys_source", "step")
+
+
 @query(
     "item_load_duplicates",
     f"SELECT item_id, revision, description, sys_err_code FROM (SELECT *, CAST(1 AS BIGINT) AS "
@@ -200,7 +366,7 @@ for _mode in ("A", "B", "C"):
     "m.item_id = f.item_id AND m.revision = f.revision)) WHERE n > 1",
 )
 def item_load_duplicates(spark, d):
-    duplicates = plan_load(_inputs(spark, d, "C")).rejects["duplicates"]
+    duplicates = plan_load(_inputs(spark, d, "C")).rejects[DUPLICATES]
     return duplicates.select("item_id", "revision", "description", "sys_err_code")
 
 
@@ -208,7 +374,7 @@ def item_load_duplicates(spark, d):
     "published_rejects",
     "SELECT item_id, revision, name, eol_date, CAST(1400 AS BIGINT) AS sys_err_code, "
     "'hazard is missing' AS sys_err_mesg, 'INSERT' AS sys_nc_type, sys_source, "
-    "'ACTIVE' AS sys_ent_state, 'feed' AS step, TIMESTAMP '2024-02-01 00:00:00' AS sys_creation_date "
+    "sys_ent_state, 'feed' AS step, TIMESTAMP '2024-02-01 00:00:00' AS sys_creation_date "
     f"FROM ({_FEED_SQL}) WHERE sys_source = '{SOURCE}' AND hazard IS NULL",
 )
 def published_rejects(spark, d):
@@ -217,7 +383,8 @@ def published_rejects(spark, d):
     plan = plan_load(replace(i, feed_rules=[*KEY_RULES, not_null(1400, "hazard")]))
     run_id = uuid.uuid4().hex
     store = Store(spark, f"{session.shared_folder(spark)}/goldweave-checks/{run_id}")
-    rejects = as_rejects(plan.rejects[FEED_STEP], FEED_STEP, run_id, i.run_ts, SOURCE)
+    rejects = as_rejects(
+        plan.rejects[FEED_STEP], FEED_STEP, run_id, i.run_ts, reject_constants(FEED_STEP, SOURCE, USER))
     store.commit([append_rejects(rejects, store, run_id)], run_id)
     return store.read_all("err_item", S.REJECT_SCHEMA).select(
         "item_id", "revision", "name", "eol_date", "sys_err_code", "sys_err_mesg", "sys_nc_type",

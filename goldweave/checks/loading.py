@@ -38,7 +38,7 @@ def insert_only_rejects(spark, d):
 @query(
     "published_master",
     f"SELECT coalesce(m.item, f.item) AS item, coalesce(m.line, f.line) AS line, "
-    f"coalesce(f.price, m.price) AS price FROM ({_MASTER}) m FULL JOIN "
+    f"CASE WHEN f.item IS NULL THEN m.price ELSE f.price END AS price FROM ({_MASTER}) m FULL JOIN "
     f"(SELECT item, line, max(price) AS price FROM ({_FEED}) GROUP BY 1, 2) f "
     "ON m.item = f.item AND m.line = f.line",
 )
@@ -48,6 +48,6 @@ def published_master(spark, d):
     first = master(spark, d).select("item", "line", "price")
     publish(first, store, "master", "v1")
     current = store.read("master", first.schema)
-    rows = feed(spark, d).select("item", "line", "price").where(F.col("price").isNotNull())
+    rows = feed(spark, d).select("item", "line", "price")
     publish(upsert(current, rows, KEYS, ["price"], [*KEYS, "price"]), store, "master", "v2")
     return store.read("master", first.schema)

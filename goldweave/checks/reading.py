@@ -215,12 +215,14 @@ def sync_close(spark, d):
     "sequence_wrap",
     "SELECT l_returnflag, CAST(CASE WHEN m = t THEN 0 ELSE m END AS BIGINT) AS next_seq FROM "
     "(SELECT l_returnflag, max(l_orderkey) AS m FROM lineitem GROUP BY 1) "
-    "CROSS JOIN (SELECT 14999 AS t)",
+    "CROSS JOIN (SELECT max(l_orderkey) AS t FROM lineitem)",
 )
 def sequence_wrap(spark, d):
+    """The highest number of all is the limit, so that it wraps at every scale."""
     lines = table(spark, d, "lineitem")
+    limit = lines.agg(F.max("l_orderkey")).first()[0]
     return lines.groupBy("l_returnflag").agg(
-        next_sequence(F.max("l_orderkey"), limit=14999).cast("long").alias("next_seq")
+        next_sequence(F.max("l_orderkey"), limit=limit).cast("long").alias("next_seq")
     )
 
 

@@ -108,7 +108,8 @@ def merge_sql(
     by = ", ".join(keys)
     ctes = [f"m AS ({master})"]
     universe = [f"SELECT {by} FROM m"]
-    joins, there = ["FROM k LEFT JOIN m USING (" + by + ")"], [f"m.{keys[0]} IS NOT NULL"]
+    same = " AND ".join(f"m.{k} IS NOT DISTINCT FROM k.{k}" for k in keys)
+    joins, there = [f"FROM k LEFT JOIN m ON {same}"], [f"m.{keys[0]} IS NOT NULL"]
     value = {c: f"m.{c}" for c in columns}
     for s in sources:
         own = s.keys or list(keys)

@@ -32,7 +32,11 @@ class Rule:
 
 
 def not_null(code: int, column: str) -> Rule:
-    return Rule(code, f"{column} is missing", lambda: F.col(column).isNull())
+    """Empty text counts as missing, as in the source system."""
+    return Rule(
+        code, f"{column} is missing",
+        lambda: F.col(column).isNull() | (F.col(column).cast("string") == ""),
+    )
 
 
 def max_length(code: int, column: str, length: int) -> Rule:
@@ -98,17 +102,20 @@ def split_rejects(rows: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Da
 
 
 def as_rejects(
-    rejected: DataFrame, step: str, run_id: str, run_ts: Column, source: str | None
+    rejected: DataFrame, step: str, run_id: str, run_ts: Column,
+    constants: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Any step's rejected rows in the one shape of the reject table."""
+    """Any step's rejected rows in the one shape of the reject table.
+
+    Rows keep what they have; ``constants`` are what a step writes in its place.
+    """
     fixed = {
         "step": F.lit(step),
         "run_id": F.lit(run_id),
         "sys_nc_type": F.lit("INSERT"),
-        "sys_ent_state": F.lit(S.ACTIVE),
-        "sys_source": F.lit(source),
         S.CREATED: run_ts,
         S.MODIFIED: run_ts,
+        **(constants or {}),
     }
 
     def column(f) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from goldweave import schema as S
 from goldweave import session
-from goldweave.operators.collapse import MergeSource
+from goldweave.operators.collapse import MergeSource, has_all
 from goldweave.operators.counts import merge_counts
 from goldweave.operators.latest import catch_up, window_maxima
 from goldweave.operators.load import DUPLICATE_KEY, DUPLICATE_MESSAGE, insert_new
@@ -35,10 +35,11 @@ from goldweave.operators.windows import Windows, advance, due_windows
 from goldweave.plans.audit import Audit
 from goldweave.plans.control import close_sync
 from goldweave.sources.lookup import job_frequency, lookup_one, property_is_on
-from goldweave.sources.snapshot import Store, append_rejects
-from goldweave.sources.tables import deleted_rows, of_source, read_table, source_count
+from goldweave.sources.snapshot import AlreadyCommitted, Store, append_rejects
+from goldweave.sources.tables import deleted_rows, flag_rows, of_source, read_table, source_count
 
 MESSAGES, FEED, FLAGS, DELETES = "messages", "feed", "flags", "deleted"
+DUPLICATES = "duplicates"
 MASTER_TABLE, CONTROL_TABLE = "mst_item", "aif_last_sync_up"
 # Name of the property that lets a load soft-delete.
 DELETE_PROPERTY = "can_update_ent_state"
@@ -62,6 +63,7 @@ class LoadInputs:
     delete: bool = True
     feed_rules: Sequence[Rule] = KEY_RULES
     message_rules: Sequence[Rule] = ()
+    flag_rules: Sequence[Rule] = ()
     bad_dates: str = "abort"
     distinct: bool = True
     small: bool = False
@@ -72,6 +74,7 @@ class LoadPlan:
     master: DataFrame
     rejects: dict[str, DataFrame]
     sources: list[str]
+    flags: DataFrame
 
 
 def caught_up(messages: DataFrame, windows: Windows) -> DataFrame:
@@ -117,6 +120,8 @@ def plan_load(i: LoadInputs) -> LoadPlan:
         distinct=i.distinct or i.mode == "C",
     )
     rejects = {FEED: broken}
+    flag_rows_, bad_flags = split_rejects(mine.select("item_id", "is_emc", "sys_ent_state"), i.flag_rules)
+    rejects[FLAGS] = bad_flags
     sources, keyed = [], [i.master, accepted]
     if i.mode == "A" and i.messages is not None:
         kept, bad = split_rejects(i.messages, i.message_rules)
@@ -131,7 +136,7 @@ def plan_load(i: LoadInputs) -> LoadPlan:
             i.master, rows, S.KEYS, S.FEED_C_INSERT, constants=stamps(i.run_ts),
             null_keys="absent", distinct=False,
         )
-        rejects["duplicates"] = loaded.duplicates.withColumns(
+        rejects[DUPLICATES] = loaded.duplicates.withColumns(
             {
                 "sys_err_code": F.lit(DUPLICATE_KEY).cast("long"),
                 "sys_err_mesg": F.lit(DUPLICATE_MESSAGE),
@@ -139,7 +144,7 @@ def plan_load(i: LoadInputs) -> LoadPlan:
         )
     flags = MergeSource(
         FLAGS,
-        mine.select("item_id", "is_emc"),
+        flag_rows_.select("item_id", "is_emc"),
         update=["is_emc", "sys_source", S.MODIFIED],
         constants={"sys_source": F.lit(i.source), S.MODIFIED: i.run_ts},
     )
@@ -151,17 +156,20 @@ def plan_load(i: LoadInputs) -> LoadPlan:
     )
     names = [s.name for s in sources] + [FLAGS] + ([DELETES] if i.delete else [])
     options = {"null_keys": "absent", "tally": True, "small_sources": i.small}
+    last = [removed] if i.delete else []
     if i.small:
-        last = [removed] if i.delete else []
         master = merge(i.master, sources + last, S.KEYS, **options)
         master = merge(master, [flags], ["item_id"], **options)
     else:
         by_key = expand_to_keys(flags.rows, ["item_id"], ["is_emc"], *keyed, keys=S.KEYS)
-        sources.append(replace(flags, rows=by_key))
-        if i.delete:
-            sources.append(removed)
-        master = merge(i.master, sources, S.KEYS, **options)
-    return LoadPlan(master, rejects, names)
+        whole = has_all(S.KEYS)
+        every = [*sources, replace(flags, rows=by_key), *last]
+        master = merge(i.master.where(whole), every, S.KEYS, **options)
+        # Flags go by the item alone, so rows without a revision get them as well.
+        partial = merge(
+            i.master.where(~whole), [flags], ["item_id"], unique_target=False, **options)
+        master = master.unionByName(partial, allowMissingColumns=True)
+    return LoadPlan(master, rejects, names, flags.rows)
 
 
 # --- the job --------------------------------------------------------------------
@@ -216,6 +224,7 @@ def run_item_load(
     run_id: str | None = None,
     feed_rules: Sequence[Rule] = KEY_RULES,
     message_rules: Sequence[Rule] = (),
+    flag_rules: Sequence[Rule] = (),
     bad_dates: str = "abort",
     distinct: bool = True,
     buckets: int | None = None,
@@ -226,14 +235,40 @@ def run_item_load(
     without a key always are. ``bad_dates='reject'`` turns dates that do not
     parse into rejects. ``buckets`` lays the master out by its key, which saves
     every later load the shuffle of the master.
+
+    A run id that has been committed is refused before anything is written. The
+    merge is audited as done once it is committed, and a failure always leaves an
+    audit row.
     """
     if not source:
         raise ValueError("a load needs a source")
-    session.configure(spark)
-    run_id = run_id or f"{sync_id}-{run_ts:%Y%m%dT%H%M%S%f}"
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    run_id = run_id or f"{sync_id}-{source}-{mode}-{run_ts:%Y%m%dT%H%M%S%f}"
+    with session.load_settings(spark):
+        return _run(
+            spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id, run_id,
+            dict(feed_rules=feed_rules, message_rules=message_rules, flag_rules=flag_rules,
+                 bad_dates=bad_dates, distinct=distinct), buckets)
+
+
+def reject_constants(step: str, source: str, run_user: str) -> dict[str, Column]:
+    """What a step writes into its rejects instead of what the row has."""
+    if step == MESSAGES:
+        by = {c: F.lit(run_user) for c in ("sys_created_by", "sys_last_modified_by")}
+        return {"sys_ent_state": F.lit(S.ACTIVE), "item_type": F.lit(S.MESSAGE_ITEM_TYPE), **by}
+    if step == DUPLICATES:
+        return {"sys_ent_state": F.lit(S.ACTIVE), "sys_source": F.lit(source)}
+    return {"sys_source": F.lit(source)}
+
+
+def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id, run_id, options,
+         buckets) -> RunResult:
     audit = Audit(spark, paths.audit, run_id, job_instance_id, sync_id)
     now, store = instant(run_ts), Store(spark, paths.store)
-    at, step, in_rows = "lookups", None, 0
+    if store.is_committed(run_id):
+        raise AlreadyCommitted(f"run {run_id} has been committed before")
+    at, step, in_rows, merged = "lookups", None, 0, 0
     try:
         control = store.read(CONTROL_TABLE, S.CONTROL_SCHEMA)
         frequency = job_frequency(read_table(spark, paths.jobs, S.JOB_SCHEMA), sync_id)
@@ -260,9 +295,11 @@ def run_item_load(
                 at = "messages"
                 # used by the size check, the merge and the rejects; the log is the largest input
                 log = read_table(spark, paths.changes, S.MESSAGE_SCHEMA)
-                messages = session.staged(caught_up(log, windows), f"{run_id}/messages")
+                messages = session.staged(caught_up(log, windows), "messages")
 
         at = "merge"
+        options["feed_rules"] = [
+            *KEY_RULES, *[r for r in options["feed_rules"] if not any(r is k for k in KEY_RULES)]]
         sides = [mine, *([] if messages is None else [messages])]
         sides += [deleted_rows(feed).select(*S.KEYS)] if delete else []
         plan = plan_load(
@@ -275,11 +312,8 @@ def run_item_load(
                 mode=mode,
                 messages=messages,
                 delete=delete,
-                feed_rules=[*KEY_RULES, *[r for r in feed_rules if not any(r is k for k in KEY_RULES)]],
-                message_rules=message_rules,
-                bad_dates=bad_dates,
-                distinct=distinct,
                 small=fits_in_memory(*sides),
+                **options,
             )
         )
         master = store.write(
@@ -288,13 +322,15 @@ def run_item_load(
         )
         at = "rejects"
         rejected = _union(
-            [as_rejects(r, name, run_id, now, source) for name, r in plan.rejects.items()]
+            [as_rejects(r, name, run_id, now, reject_constants(name, source, run_user))
+             for name, r in plan.rejects.items()]
         )
         errors = append_rejects(rejected, store, run_id)
 
         at = "counts"
         counts = merge_counts(spark.read.parquet(master.path), plan.sources).first().asDict()
         counts["in_rows"] = in_rows
+        counts[f"{FLAGS}_merged"] = flag_rows(plan.flags, flags=["is_emc"]).count()
         counts["rejected"] = spark.read.parquet(errors.path).count()
         merged = counts[f"{FEED}_inserted"] if mode == "C" else counts[f"{FEED}_merged"]
         inserted = sum(v for k, v in counts.items() if k.endswith("_inserted"))
@@ -303,23 +339,24 @@ def run_item_load(
             "rows_in": in_rows, "rows_merged": merged, "rows_inserted": inserted,
             "rows_updated": 0, "rows_rejected": counts["rejected"],
         }
-        audit.end(step, "INSERT SUCCEEDED" if mode == "C" else "MERGE SUCCEEDED", **done)
-        audit.end(step, "UPDATE SUCCEEDED", **{**done, "rows_updated": updated})
-
         at = "control"
-        step = audit.start("UPDATE_SYNCUP", "Close the control row")
         closed = close_sync(control, mine, sync_id, now, job_instance_id)
         state = store.write(closed.coalesce(1), CONTROL_TABLE, run_id)
         at = "publish"
         version = store.commit([master, errors, state], run_id)
+        at = "audit"
+        audit.end(step, "INSERT SUCCEEDED" if mode == "C" else "MERGE SUCCEEDED", **done)
+        audit.end(step, "UPDATE SUCCEEDED", **{**done, "rows_updated": updated})
+        step = audit.start("UPDATE_SYNCUP", "Close the control row")
         audit.end(
             step, f"UPDATE SUCCEEDED{run_ts:%Y-%m-%d %H:%M:%S}:{sync_id}",
             rows_in=in_rows, rows_merged=merged,
         )
         return RunResult(0, "SUCCESS", counts, version)
     except Exception as e:
-        if step is not None:
-            audit.end(step, f"ERROR{e}", rows_in=in_rows)
+        if step is None:
+            step = audit.start("MERGE", f"Merge the item feed into the item master for {source}", in_rows)
+        audit.end(step, f"ERROR{e}", rows_in=in_rows, rows_merged=merged, rows_rejected=1)
         raise LoadFailed(at, e) from e
 
 

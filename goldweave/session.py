@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def load_settings(spark: SparkSession):
+    """The settings of a load, put back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in LOAD_SETTINGS}
+    configure(spark)
+    try:
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``, else the warehouse.
 

@@ -2,14 +2,16 @@
 
 A run writes each table into a directory of its own. It becomes current when a
 row per table is appended to the commit table, all in one file, so a reader sees
-all of a run or nothing of it. A run that dies before leaves only directories
-nobody reads; running it again under the same id overwrites them. The commit
-table grows by one small file per run. One writer at a time is assumed.
+all of a run or nothing of it. Every attempt has a directory of its own, so what
+a commit names is never written again; a run that dies leaves only directories
+nobody reads. The commit table grows by one small file per run. One writer at a
+time is assumed.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -26,13 +28,17 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("stream", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("window_end", T.LongType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("bucket_columns", T.StringType()),
     ]
 )
 
 
+# Folder of one attempt at writing a table, as a partition column of the table's root.
+ATTEMPT = "attempt"
+
+
 class AlreadyCommitted(ValueError):
     """The run id has been used by a completed run."""
 
@@ -95,23 +101,25 @@ class Store:
             f"CLUSTERED BY ({c['bucket_columns']}) INTO {c['buckets']} BUCKETS "
             f"LOCATION '{c['path']}'"
         )
-        return self.spark.table(name)
+        rows = self.spark.table(name)
+        # the rows keep the layout; an external table's name can go, the files stay
+        self.spark.sql(f"DROP TABLE {name}")
+        return rows
 
     def read_all(self, table: str, schema: T.StructType) -> DataFrame:
         """Every committed run's rows of a table that only grows (rejects)."""
-        paths = [
-            r["path"] for r in self.commits().where(F.col("table") == table).select("path").collect()
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        with_attempt = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType())])
+        every = read_or_empty(self.spark, f"{self.root}/{table}", with_attempt)
+        done = self.commits().where(F.col("table") == table).select(
+            F.substring_index("path", f"{ATTEMPT}=", -1).alias(ATTEMPT))
+        return every.join(done, ATTEMPT, "left_semi").select(*[f.name for f in schema.fields])
 
     def is_committed(self, run_id: str) -> bool:
         return not self.commits().where(F.col("run_id") == run_id).isEmpty()
 
-    def last_batch(self, stream: str) -> int | None:
-        """Number of the last micro-batch a stream has committed."""
-        return self.commits().where(F.col("stream") == stream).agg(F.max("batch_id")).first()[0]
+    def last_window(self, stream: str) -> int | None:
+        """End, in microseconds, of the last window a stream has committed."""
+        return self.commits().where(F.col("stream") == stream).agg(F.max("window_end")).first()[0]
 
     def write(
         self,
@@ -129,11 +137,14 @@ class Store:
         it, and as its result comes out in the same layout, neither does the
         next write.
         """
-        path = f"{self.root}/{table}/{run_id}"
-        writer = rows.write.mode("overwrite")
+        if self.is_committed(run_id):
+            raise AlreadyCommitted(f"run {run_id} has been committed before")
+        path = f"{self.root}/{table}/{ATTEMPT}={uuid.uuid4().hex}"
         if not buckets:
-            writer.parquet(path)
+            rows.write.parquet(path)
             return Written(table, path)
+        # one file per bucket, however the rows were partitioned
+        writer = rows.repartition(buckets, *bucket_columns).write
         name = f"goldweave_write_{short_name(path)}"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         writer.bucketBy(buckets, *bucket_columns).option("path", path).format(
@@ -149,14 +160,14 @@ class Store:
         run_id: str,
         *,
         stream: str | None = None,
-        batch_id: int | None = None,
+        window_end: int | None = None,
     ) -> int:
         """Make the written tables current, all at once. Returns the version."""
         if self.is_committed(run_id):
             raise AlreadyCommitted(f"run {run_id} has been committed before")
         version = (self.commits().agg(F.max("version")).first()[0] or 0) + 1
         rows = [
-            (version, w.table, w.path, run_id, stream, batch_id, w.buckets, w.bucket_columns)
+            (version, w.table, w.path, run_id, stream, window_end, w.buckets, w.bucket_columns)
             for w in written
         ]
         one = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)

@@ -10,6 +10,7 @@ is joined to the message log and merged into the master.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from goldweave import schema as S
 from goldweave.operators.collapse import MergeSource
 from goldweave.operators.latest import catch_up
 from goldweave.operators.normalize import message_insert_defaults, project_messages
+from goldweave.operators.sizing import fits_in_memory
 from goldweave.operators.upsert import merge
 from goldweave.operators.windows import Windows, micros
 from goldweave.session import staged
-from goldweave.sources.snapshot import Store, short_name
+from goldweave.sources.snapshot import Store
 
 _MICRO = 1
 
@@ -76,31 +78,39 @@ def start_catch_up(
     *,
     name: str,
     checkpoint: str,
-    run_ts: Column,
+    run_ts: Column | Callable[[], Column],
     run_user: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Merge finished windows into the master, micro-batch by micro-batch.
 
-    ``read_log`` gives the message log as a batch table. The number of the batch
-    is committed with the master it led to, so a batch that is run again after a
-    failure is skipped once it has been published.
+    ``read_log`` gives the message log as a batch table. The end of the last
+    window is committed with the master it led to. Windows finish in order, so
+    what comes again, after a failure or from a new checkpoint, is known by it,
+    and only what was not merged yet is. ``run_ts`` is the stamp of all batches,
+    or a function that is asked once per batch.
     """
     if first.end % 1_000_000:
         raise ValueError("the stored window must end on a whole second")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        last = store.last_batch(name)
-        if last is not None and batch_id <= last:
-            # published before; the state store still has to see the batch run through
-            batch.write.format("noop").mode("overwrite").save()
-            return
-        finished = staged(batch, f"stream/{short_name(store.root)}/{name}/{batch_id}")
-        if not finished.isEmpty():
-            merge_batch(finished, batch_id)
-
-    def merge_batch(finished: DataFrame, batch_id: int) -> None:
-        won = catch_up(read_log(), numbered(finished, first))
+        # written at once, as the state store has to see every batch run through
+        rows = staged(batch, f"stream-{name}")
+        last = store.last_window(name)
+        if last is not None:
+            rows = rows.where(micros("window_end") > last)
+        newest = rows.agg(F.max(micros("window_end"))).first()[0]
+        if newest is not None:
+            merge_batch(rows, newest)
+
+    def merge_batch(finished: DataFrame, newest: int) -> None:
+        stamp = run_ts() if callable(run_ts) else run_ts
+        # the items of the batch are few beside the log: only their messages are looked at
+        items = finished.select("item").distinct()
+        if fits_in_memory(items):
+            items = F.broadcast(items)
+        log = read_log().join(items, "item", "left_semi")
+        won = catch_up(log, numbered(finished, first))
         rows = project_messages(
             won, extra=["first_window", "last_window", "times"], distinct=False
         ).withColumns({"revision": F.lit(S.NO_REVISION), "name": F.col("description")})
@@ -109,16 +119,19 @@ def start_catch_up(
             rows,
             update=S.MESSAGE_UPDATE,
             insert=S.MESSAGE_INSERT,
-            constants=message_insert_defaults(run_ts, run_user),
+            constants=message_insert_defaults(stamp, run_user),
             first_by=["first_window"],
             last_by=["last_window"],
             weight="times",
         )
         master = store.read("mst_item", S.MASTER_SCHEMA)
-        merged = merge(master, [source], S.KEYS, null_keys="absent")
-        run_id = f"{name}-{batch_id}"
+        won = staged(source.rows, f"won-{name}")
+        merged = merge(
+            master, [replace(source, rows=won)], S.KEYS, null_keys="absent",
+            small_sources=fits_in_memory(won))
+        run_id = f"{name}-{newest}"
         store.commit(
-            [store.write(merged, "mst_item", run_id)], run_id, stream=name, batch_id=batch_id
+            [store.write(merged, "mst_item", run_id)], run_id, stream=name, window_end=newest
         )
 
     writer = (
