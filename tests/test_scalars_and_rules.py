@@ -129,7 +129,6 @@ class Settings:
 
 def test_shared_folder():
     assert session.shared_folder(Settings(spark_checkpoint_dir="/shared/x/")) == "/shared/x"
-    local = Settings(spark_master="local[4]")
-    assert session.shared_folder(local) == session.shared_folder(local)
-    with pytest.raises(ValueError, match="share"):
-        session.shared_folder(Settings(spark_master="yarn"))
+    warehouse = Settings(spark_sql_warehouse_dir="/warehouse/")
+    assert session.shared_folder(warehouse) == "/warehouse"
+    assert session.scratch(warehouse, "x") != session.scratch(warehouse, "x")
