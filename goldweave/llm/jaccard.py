@@ -1,8 +1,9 @@
 """Near-duplicate texts: a join on the Jaccard similarity of word shingles.
 
 MinHash signatures are cut into the labels of several trees. Texts that share a prefix of a
-label are a node of that tree's trie. Prefixes are shortened, from the whole label on, until
-the links seen let expect the target recall; then everything found is verified exactly.
+label are a node of that tree's trie. Prefixes are so short that a pair at the threshold is found
+at the target rate by itself, and are shortened further while the links seen do not let expect
+the target recall; then everything found is verified exactly.
 """
 
 from __future__ import annotations
@@ -84,6 +85,18 @@ def found_rate(similarity, depth: int, trees: int = TREES):
     return 1 - (1 - np.asarray(similarity, float) ** depth) ** trees
 
 
+def first_depth(threshold: float, trees: int, target: float) -> tuple[int, int]:
+    """The longest prefix that finds a pair at the threshold at the target rate, and the trees.
+
+    There are more trees than asked for if even the shortest prefix falls short.
+    """
+    if not (0 < threshold <= 1 and target < 1):
+        raise ValueError("the threshold must be in (0, 1] and the target below 1")
+    while found_rate(threshold, 1, trees) < target:
+        trees += 1
+    return max(d for d in range(1, DEPTH + 1) if found_rate(threshold, d, trees) >= target), trees
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple]:
     """Rows of sorted batches, by their first columns."""
     rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
@@ -241,6 +254,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, k: int = SHIN
     spark = rows.sparkSession
     kind = id_type(rows, id_col)
     source = texts(rows, id_col, text_col)
+    start, trees = first_depth(threshold, trees, target)
     values = trees * DEPTH
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +280,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, k: int = SHIN
         F.first("signature").alias("signature"))
     nodes = classes.select("node", "signature")
 
-    for depth in range(DEPTH, 0, -1):
+    for depth in range(start, 0, -1):
         path = scratch(spark, "candidates")
         _linked(nodes, depth, trees, threshold).write.parquet(path)
         found = spark.read.parquet(path)

@@ -57,3 +57,17 @@ def test_repeated_rows_null_ids_and_other_columns(spark):
     found = jaccard.near_duplicates(table).collect()
     assert sorted((r.class_id, r.n_links) for r in found) == [(1, 2), (1, 2), (1, 2), (2, 0)]
     assert jaccard.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_lone_pairs_at_the_threshold_are_found_beside_a_large_group(spark):
+    draw = random.Random(5)
+    rows = []
+    for i in range(1500):  # 40 of 50 shingles are shared
+        base = [f"p{i}x{draw.randrange(10**9)}" for _ in range(49)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:-5], *"abcde"]))]
+    large = [f"g{k}" for k in range(200)]
+    rows += [(3000 + i, " ".join([*large, f"end{i}"])) for i in range(300)]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    links = {r.doc_id: r.n_links for r in found}
+    assert sum(links[2 * i] for i in range(1500)) >= 0.999 * 1500
+    assert all(links[3000 + i] == 299 for i in range(300))
