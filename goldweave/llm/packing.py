@@ -19,7 +19,8 @@ from goldweave.session import scratch
 LENGTH = 2048
 SHARD_TOKENS = 4 << 20
 PARTITION_TOKENS = 16 << 20
-QUERY_TERMS = 24
+#: Terms in more than this share of a shard's documents are kept as rows of weights by document.
+DENSE = 1 / 8
 NEIGHBOURS = 64
 # Fixed parameters of the ranking function.
 K1, B = 1.2, 0.75
@@ -47,34 +48,54 @@ class Bm25:
         norm = K1 * (1 - B + B * size / max(float(size.mean()), 1.0))
         tf = count[order].astype(np.float32)
         self.weight = np.repeat(self.idf, df) * tf * (K1 + 1) / (tf + norm[self.owner])
-        # The terms to search a document by: the rarest that another document has as well.
+        # The terms of each document that another document has as well.
         self.queries = []
         for t in terms:
             at = np.searchsorted(self.terms, t)
-            at = at[df[at] > 1]
-            self.queries.append(at[np.argsort(-self.idf[at], kind="stable")[:QUERY_TERMS]])
+            self.queries.append(at[df[at] > 1].astype(np.int32))
+        common = np.flatnonzero(df > max(DENSE * n, 1))
+        self.row = np.full(len(df), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), n), np.float32)
+        for row, at in zip(self.rows, common, strict=True):
+            part = slice(self.starts[at], self.ends[at])
+            row[self.owner[part]] = self.weight[part]
         self.scores = np.zeros(n, np.float32)
+        self.scored = -1
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents by falling score; those without a shared term are left out."""
+    def score(self, seed: int) -> None:
+        """The scores of all documents by every term of the seed, kept until another is asked for."""
+        if seed == self.scored:
+            return
+        self.scored = seed
         self.scores[:] = 0
-        for at in self.queries[seed]:
-            part = slice(self.starts[at], self.ends[at])
+        at = self.queries[seed]
+        row = self.row[at]
+        for r in row[row >= 0]:
+            self.scores += self.rows[r]
+        for k in at[row < 0]:
+            part = slice(self.starts[k], self.ends[k])
             self.scores[self.owner[part]] += self.weight[part]
+
+    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        """Unused documents by falling score; those without a shared term are left out."""
+        self.score(seed)
         hit = np.flatnonzero((self.scores > 0) & unused)
         if len(hit) > NEIGHBOURS:  # asked again once these are used
             hit = hit[np.argpartition(-self.scores[hit], NEIGHBOURS)[:NEIGHBOURS]]
         return hit[np.lexsort((hit, -self.scores[hit]))]
 
 
-def order_by_retrieval(docs: list[np.ndarray], length: int) -> list[int]:
+def order_by_retrieval(docs: list[np.ndarray], length: int, ends: int = 0) -> list[int]:
     """All documents in the order in which they fill windows.
 
+    The last ``ends`` ids of each take up place but are not searched by.
+
     A seed opens a window and its best unused neighbours fill it; the document that reaches
     over the end of the window is the seed of the next one. Without a neighbour left, the
     next unused document follows.
     """
-    index = Bm25(docs)
+    index = Bm25([d[:len(d) - ends] for d in docs])
     unused = np.ones(len(docs), bool)
     order: list[int] = []
     at = following = 0  # ids placed so far
@@ -165,7 +186,7 @@ def pack(rows: DataFrame, tokenizer: str, end_id: int, spaces: str = "kept", len
             docs = [ids for _, ids in held]
             columns: list[list] = [[] for _ in out.names]
             at = 0
-            for i in order_by_retrieval(docs, length):
+            for i in order_by_retrieval(docs, length, ends=1):
                 ids, done = docs[i], 0
                 while done < len(ids):
                     n = min(len(ids) - done, length - at % length)

@@ -52,3 +52,29 @@ def test_neighbours_share_terms():
     docs = [np.array(x, np.uint32) for x in ([1, 2, 3], [9, 8, 7], [1, 2, 4], [9, 8, 5], [6, 6, 6])]
     assert packing.order_by_retrieval(docs, 6)[:2] == [0, 2]
     assert sorted(packing.order_by_retrieval(docs, 6)) == list(range(5))
+
+
+def test_every_term_of_a_seed_is_scored():
+    draw = np.random.default_rng(8)
+    seed = np.arange(100, dtype=np.uint32)
+    # Ids 0 to 29 are the rarest; only commoner ones are shared with the later documents.
+    docs = [seed, seed[:30], *[np.append(seed[50 + i:], np.uint32(1000 + i)) for i in range(40)],
+            *[draw.integers(200, 400, 60).astype(np.uint32) for _ in range(400)]]
+    index = packing.Bm25(docs)
+    n, size = len(docs), np.array([len(d) for d in docs])
+    norm = packing.K1 * (1 - packing.B + packing.B * size / size.mean())
+    expected = np.zeros(n)
+    for t in seed:
+        tf = np.array([(d == t).sum() for d in docs])
+        df = (tf > 0).sum()
+        if df > 1:
+            expected += np.log1p((n - df + 0.5) / (df + 0.5)) * tf * (packing.K1 + 1) / (tf + norm)
+    unused = np.ones(n, bool)
+    unused[:2] = False
+    assert set(index.neighbours(0, unused)) == set(range(2, 42))
+    assert np.allclose(index.scores, expected, rtol=1e-4)
+
+
+def test_end_ids_are_not_shared_terms():
+    docs = [np.array(x, np.uint32) for x in ([2, 3, 1], [9, 8, 7, 6, 1], [5, 1])]
+    assert packing.order_by_retrieval(docs, 100, ends=1) == [0, 1, 2]
