@@ -16,17 +16,20 @@ from goldweave.session import scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Rows whose id is null or repeated are judged by id."""
-    docs = pick(docs, *DOCUMENT_COLUMNS)
-    verdict = quality.quality(docs).groupBy("doc_id").agg(F.min("kept").alias("kept")).where("kept")
-    return _semi(docs, verdict)
+    """Documents that the quality rules keep; each distinct text under an id is judged by itself."""
+    docs = _identified(docs)
+    kept = quality.quality(docs, id_col="row").where("kept")
+    return _semi(docs, kept.select("row")).drop("row")
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the smallest id."""
-    docs = pick(docs, *DOCUMENT_COLUMNS)
-    first = jaccard.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    return _semi(docs, first.select("doc_id").distinct()).dropDuplicates(["doc_id"])
+    """One document of each class of near duplicates: the one with the smallest id.
+
+    Null ids come last; among texts with that id, the hash of the text decides.
+    """
+    docs = _identified(docs)
+    first = jaccard.near_duplicates(docs, id_col="row").where(F.col("row") == F.col("class_id"))
+    return _semi(docs, first.select("row")).dropDuplicates(["row"]).drop("row")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +50,20 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1))
 
 
-def _semi(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    chosen = ids.select(F.col("doc_id").alias("chosen"))
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["chosen"]), "left_semi")
+def _identified(docs: DataFrame) -> DataFrame:
+    """The documents with ``row``, which is equal for repeats of an id with its text only.
+
+    It is never null and sorts by id, null ids last.
+    """
+    return pick(docs, *DOCUMENT_COLUMNS).withColumn("row", F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id",
+        F.col("text").isNull().alias("no_text"),
+        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("hash")))
+
+
+def _semi(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    chosen = rows.select(F.col("row").alias("chosen")).distinct()
+    return docs.join(chosen, docs["row"] == chosen["chosen"], "left_semi")
 
 
 STAGES = [

@@ -67,3 +67,23 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
     clean = {r.doc_id: r for r in corpus_pipeline.secret_scans(spark, table, "").collect()}
     assert clean[2].text.endswith("n [secret]") and clean[2].n_chars == len(clean[2].text)
     assert clean[1].n_chars == 1
+
+
+def test_distinct_texts_under_one_id_are_kept(spark):
+    draw = random.Random(4)
+    words = [f"word{i}" for i in range(500)]
+    texts = [" ".join(draw.choice(words) for _ in range(60)) for _ in range(6)]
+    near = texts[0] + " more"
+    rows = [(None, t) for t in texts[:3]] + [(7, t) for t in texts[3:5]] + [
+        (None, "bad"), (7, "bad"), (None, texts[0]), (7, texts[3]), (8, near), (7, texts[5].upper()),
+        (7, texts[5]), (None, None), (7, "")]
+    table = spark.createDataFrame(
+        [(i, t, "en", "s", 1) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    clean = corpus_pipeline.quality_rules(spark, table, "")
+    by_row = lambda docs: sorted(((r.doc_id or 0), r.text or "") for r in docs.collect())
+    assert by_row(clean) == sorted((i or 0, t) for i, t in rows if t and len(t) > 10)
+    found = by_row(corpus_pipeline.ngram_jaccard(spark, clean, ""))
+    one = [t for _, t in found if t.lower() == texts[5]]
+    assert len(one) == 1
+    assert found == sorted([(0, texts[1]), (0, texts[2]), (7, texts[3]), (7, texts[4]), (7, one[0]), (8, near)])
