@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldweave.llm import (
-    byte_bpe, jaccard, licenses, packing, quality, secrets, spotsigs, token_counts, token_files, warc,
+    byte_bpe, jaccard, licenses, packing, periodic, quality, secrets, spotsigs, token_counts, token_files, warc,
 )
-from goldweave.llm.tables import read
+from goldweave.llm.tables import read, texts
 from goldweave.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,6 +221,75 @@ def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.compare_edited(read(spark, folder, "documents"))
 
 
+def _planted_sql() -> str:
+    """Words of each text with the planted periods, as ``ws``; CRC-32 bit by bit."""
+    return r"""
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+c AS (SELECT doc_id, ws, len(ws) AS n, CAST(xor(list_reduce(list_concat([4294967295],
+  flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: list_concat(
+    [CAST(ascii(s) AS BIGINT)], list_transform(range(8), lambda z: CAST(-1 AS BIGINT)))))),
+  lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END),
+  4294967295) AS BIGINT) AS h FROM d),
+g AS (SELECT *, (h // 10) % greatest(n, 1) AS a, 3 + (h // 10) % 8 AS k FROM c),
+t AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+  ws[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // k) ELSE i END]) ELSE ws END AS ws FROM g)"""
+
+
+@query(f"""
+WITH {_planted_sql()},
+w AS (SELECT doc_id, n, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM t),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM w x JOIN w y
+  ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND y.i - x.i <= x.n // 3),
+s AS (SELECT doc_id, q, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island, i FROM m),
+f AS (SELECT doc_id, q, min(i) AS st, count(*) + q AS len FROM s GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(24, 3 * q)),
+r AS (SELECT doc_id, st, len, min(q) AS q FROM f GROUP BY ALL),
+b AS (SELECT doc_id, st, len, q FROM r QUALIFY row_number() OVER (
+  PARTITION BY doc_id ORDER BY CAST(len AS DOUBLE) / q DESC, st, q) = 1),
+a AS (SELECT doc_id, count(*) AS n_runs,
+  string_agg(st || ',' || len || ',' || q || chr(10), '' ORDER BY st, q) AS runs FROM r GROUP BY doc_id),
+o AS (SELECT DISTINCT doc_id, unnest(range(st + q, st + len)) AS i FROM r),
+k AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS txt FROM w ANTI JOIN o
+  ON w.doc_id = o.doc_id AND w.i = o.i GROUP BY w.doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(st AS BIGINT) AS start, CAST(len AS BIGINT) AS length,
+  CAST(q AS BIGINT) AS period, CAST(1000 * len // q AS BIGINT) AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(txt, '')) AS collapsed_sha256
+FROM t LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN k USING (doc_id)""")
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find_runs(planted(read(spark, folder, "documents")), id_col="id")
+    best = F.aggregate(
+        "runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        # By start, then period: an equal exponent does not replace what stands.
+        lambda b, r: F.when(
+            b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def planted(documents: DataFrame) -> DataFrame:
+    """Documents as ``id`` and ``text``, with a period planted in those whose id's CRC-32 ends in 0.
+
+    A null id has no CRC-32 and its texts stay as they are.
+    """
+    rows = texts(documents, "doc_id", "text").withColumn("h", F.crc32(F.col("id").cast("string")))
+    rows = rows.withColumn("words", F.when(
+        F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    rows = rows.withColumns({"n": F.size("words"), "g": F.expr("h div 10")})
+    return rows.select("id", F.expr("""
+      CASE WHEN n > 0 THEN concat_ws(' ', slice(concat(
+        slice(words, 1, cast(g % n as int)),
+        flatten(array_repeat(
+          slice(words, cast(g % n as int) + 1, cast(1 + (n - g % n) div (3 + g % 8) as int)),
+          cast((n - g % n) div (1 + (n - g % n) div (3 + g % 8)) + 1 as int)))), 1, n))
+      ELSE text END""").alias("text"))
+
+
 @query()
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline  # stands outside of the package, and imports from it
