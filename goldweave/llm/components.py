@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldweave.operators.joins import join_unique
 from goldweave.session import scratch
 
 
@@ -12,7 +13,8 @@ def _large(edges: DataFrame) -> DataFrame:
     """Every neighbour that is larger than a node is tied to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where(F.col("b") > F.col("a")) \
+    # The edges of a hub are split in this join.
+    return join_unique(both, least, ["a"], "inner").where(F.col("b") > F.col("a")) \
         .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
@@ -21,7 +23,7 @@ def _small(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     own = least.select("a", F.col("m").alias("b"))
-    others = down.join(least, "a").where(F.col("b") != F.col("m")) \
+    others = join_unique(down, least, ["a"], "inner").where(F.col("b") != F.col("m")) \
         .select(F.col("b").alias("a"), F.col("m").alias("b"))
     return own.unionByName(others).distinct()
 
