@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldweave.llm import (
-    byte_bpe, jaccard, licenses, packing, periodic, quality, secrets, spotsigs, token_counts, token_files, warc,
+    byte_bpe, jaccard, licenses, packing, periodic, quality, secrets, simhash, spotsigs, token_counts,
+    token_files, warc,
 )
 from goldweave.llm.tables import read, texts
 from goldweave.session import scratch
@@ -290,6 +291,11 @@ def planted(documents: DataFrame) -> DataFrame:
       ELSE text END""").alias("text"))
 
 
+@query()
+def op13_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
 @query()
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline  # stands outside of the package, and imports from it
