@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldweave.llm import (
-    byte_bpe, jaccard, licenses, packing, periodic, quality, secrets, simhash, spotsigs, token_counts,
-    token_files, warc,
+    byte_bpe, divergence, jaccard, licenses, packing, periodic, quality, secrets, simhash, spotsigs,
+    token_counts, token_files, warc,
 )
 from goldweave.llm.tables import read, texts
 from goldweave.session import scratch
@@ -291,6 +291,38 @@ def planted(documents: DataFrame) -> DataFrame:
       ELSE text END""").alias("text"))
 
 
+def _divergence_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    price = "CAST(1 + 1000000000 * (CAST({} AS HUGEINT) + 5) // ({} + 5 * v) AS BIGINT)"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  coalesce(text, '') AS t FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(
+  translate(t, '{upper}', '{upper.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+size AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+  {price.format("coalesce(c.c, 0)", "coalesce(total.n, 0)")} AS p, {price.format("kept.c", "size.n")} AS q
+  FROM g JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN c USING (lang, source, term)
+  LEFT JOIN total USING (lang, source)),
+s AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE c > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM term) QUALIFY part = 'pair' OR rank <= 50"""
+
+
+@query(_divergence_sql())
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
 @query()
 def op13_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
