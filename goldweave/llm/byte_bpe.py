@@ -160,3 +160,27 @@ def decode_documents(encoded: DataFrame, ranks: str, pattern: str, id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=out.names)
 
     return encoded.select(id_col, "ids").mapInArrow(run, out)
+
+
+def round_trip(rows: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Encode and decode in one worker: the id, ``n_tokens`` and the digests of ids and bytes.
+
+    As :func:`encode_documents` and :func:`decode_documents` one after the other, with one copy of
+    the vocabulary and of the pieces known, and with ids of a slice of texts at a time.
+    """
+    out = schema(id_type(rows, id_col), "n_tokens long, ids_sha256 string, decoded_sha256 string", id_col)
+
+    def run(batches):
+        model = byte_bpe(ranks, pattern)
+        for batch in batches:
+            for start, column in slices(batch.column(1)):
+                ids, counts = model.encoder.ids(column)
+                parts = np.split(ids.astype("<u4"), np.cumsum(counts)[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(column)), pa.array(counts, pa.int64()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string()),
+                     pa.array([hashlib.sha256(model.decode(x)).hexdigest() for x in parts], pa.string())],
+                    names=out.names)
+
+    return texts(rows, id_col, text_col).mapInArrow(run, out)

@@ -7,6 +7,7 @@ tokenizer itself, and the ids of a text are gathered from those of its chunks.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -15,17 +16,22 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
-# White space of Unicode, and the separators that only Python counts as such.
-_SPACES = "\t-\r\x1c-\x1f \x85\xa0  -     　"
+# White space of Unicode, as the libraries have it: not the separators that Python counts as such.
+_SPACES = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
-_TWO_SPACES = r"[\pZ\s\x0b\x1c-\x1f\x85][\pZ\s\x0b\x1c-\x1f\x85]|[\x00\x1c-\x1f]"
-_PUNCTUATION = frozenset(".,;:!?")  # the empty string is no member
+# Two of them in a row, or the character by which texts are split here.
+_ODD = r"[\pZ\s\x0b\x85][\pZ\s\x0b\x85]|\x00"
+_ENDED = re.compile("(?s:.*)[A-Za-z][.,;:!?]").fullmatch
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 ENCODE_BYTES = 64 << 10
-# About 250 MB in a worker.
-CACHE_ENTRIES = 1_500_000
+# What is kept in a worker, about: an entry costs ENTRY_BYTES besides its text and ids. A chunk
+# longer than LONG is encoded, but not kept.
+CACHE_BYTES = 96 << 20
+ENTRY_BYTES = 190
+LONG = 256
 
 
 def by_bytes(items: list[str], limit: int) -> Iterator[list[str]]:
@@ -61,16 +67,19 @@ class ChunkEncoder:
     """
 
     def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], spaces: str,
-                 special: Sequence[str] = (), max_entries: int = CACHE_ENTRIES):
+                 special: Sequence[str] = (), max_bytes: int = CACHE_BYTES):
         if spaces not in ("kept", "dropped", "whole"):
             raise ValueError(f"spaces must be kept, dropped or whole, not {spaces!r}")
-        self.encode, self.spaces, self.special, self.max_entries = encode, spaces, special, max_entries
+        self.encode, self.spaces, self.special, self.max_bytes = encode, spaces, special, max_bytes
         self._clear()
 
     def _clear(self) -> None:
         self.slot: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(4096, np.uint32), 0
+        self.characters = 0
+        # Entries, ids and characters to go back to: long chunks come after them.
+        self.kept = 0, 0, 0
 
     def _put(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         """Keep the ids of new words, given one after another."""
@@ -85,14 +94,16 @@ class ChunkEncoder:
         self.starts[k:k + n] = self.used + np.cumsum(lengths) - lengths
         self.pool[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
+        self.characters += sum(map(len, words))
 
     def _learn(self, words: list[str]) -> None:
-        """Encode what is missing; a word and the mark that ends it are encoded apart."""
-        ended = [] if self.spaces == "whole" else [
-            w for w in words if w[-1:] in _PUNCTUATION and w[-2:-1].isalpha()]
+        """Encode what is missing; a word and the mark that ends it are encoded apart.
+
+        Only after a letter of ASCII: others may be rewritten to end in what joins the mark.
+        """
+        ended = [] if self.spaces == "whole" else [w for w in words if _ENDED(w)]
         heads, marks = [w[:-1] for w in ended], [w[-1] for w in ended]
-        plain = words if not ended else [
-            w for w in words if not (w[-1:] in _PUNCTUATION and w[-2:-1].isalpha())]
+        plain = words if not ended else [w for w in words if not _ENDED(w)]
         new = [w for w in dict.fromkeys([*plain, *heads, *marks]) if w not in self.slot]
         for group in by_bytes(new, ENCODE_BYTES):
             found = self.encode(group)
@@ -121,7 +132,7 @@ class ChunkEncoder:
         for mark in self.special:
             whole |= pc.match_substring(column, mark).to_numpy(zero_copy_only=False)
         if self.spaces == "kept":
-            odd = pc.match_substring_regex(column, _TWO_SPACES).to_numpy(zero_copy_only=False)
+            odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
             plain = pc.split_pattern(pc.replace_substring(column, " ", "\0 "), "\0")
         else:
             odd = np.zeros(len(column), bool)
@@ -146,14 +157,25 @@ class ChunkEncoder:
         chunks, counts = self._chunks(column)
         coded = chunks.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self.slot) > self.max_entries:
-            self._clear()
+        self._trim()
         missing = [w for w in words if w not in self.slot]
         if missing:
-            self._learn(missing)
+            self._learn([w for w in missing if len(w) <= LONG])
+            self.kept = len(self.slot), self.used, self.characters
+            self._learn([w for w in missing if len(w) > LONG])
         slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
         return slots[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), counts
 
+    def _trim(self) -> None:
+        """Forget long chunks of the last texts, and everything if it has grown too large."""
+        size, self.used, self.characters = self.kept
+        while len(self.slot) > size:
+            self.slot.popitem()
+        if ENTRY_BYTES * size + self.characters + 4 * self.used > self.max_bytes:
+            self._clear()
+        elif 4 * len(self.pool) > 2 * self.max_bytes:
+            self.pool = self.pool[:max(self.used, 4096)].copy()
+
     def counts(self, column: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
         slots, counts = self._slots(column)
@@ -169,9 +191,42 @@ class ChunkEncoder:
         return self._gather(slots), total[ends] - total[ends - counts]
 
 
+def white_space(tokenizer: dict) -> str:
+    """How a tokenizers file treats white space, or ``"whole"`` if that cannot be told.
+
+    ``"kept"``: words by the byte-level pattern, on the text as it is. ``"dropped"``: parts by
+    a pattern whose matches hold no space, on a text that was rewritten character by character,
+    by composition or by folding white space, none of which reaches over a space.
+    """
+    normalizer, splitter = tokenizer.get("normalizer"), tokenizer.get("pre_tokenizer") or {}
+    if splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"] \
+            and not normalizer:
+        return "kept"
+    steps = [normalizer] if normalizer else []
+    if normalizer and normalizer["type"] == "Sequence":
+        steps = normalizer["normalizers"]
+    parts = splitter.get("pretokenizers", [])
+    plain = all(
+        step["type"] in ("NFC", "Lowercase")
+        or step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"} and step["content"] == " "
+        for step in steps)
+    if not plain or not parts or parts[0]["type"] != "Split":
+        return "whole"
+    rule = parts[0]
+    rest = all(p["type"] == "ByteLevel" and not p["use_regex"] and not p["add_prefix_space"] for p in parts[1:])
+    if not rest or rule["behavior"] != "Removed" or not rule["invert"] or "Regex" not in rule["pattern"]:
+        return "whole"
+    found = regex.findall(rule["pattern"]["Regex"], " a b  1 2 . , \n ' s é 你 ")
+    return "whole" if any(m.isspace() or len(m.split()) > 1 or m != m.strip() for m in found) else "dropped"
+
+
 @lru_cache(maxsize=2)
-def library_encoder(path: str, spaces: str) -> ChunkEncoder:
-    """The encoder of a tokenizers or sentencepiece file, one per worker."""
+def library_encoder(path: str, spaces: str | None = None) -> ChunkEncoder:
+    """The encoder of a tokenizers or sentencepiece file, one per worker.
+
+    How texts may be cut is read from the file; ``spaces`` may ask for ``"whole"`` instead, and
+    is refused if it says what the file does not.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path.endswith(".model"):
         import sentencepiece
@@ -183,9 +238,12 @@ def library_encoder(path: str, spaces: str) -> ChunkEncoder:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    known = white_space(json.loads(tokenizer.to_str()))
+    if spaces not in (None, known, "whole"):
+        raise ValueError(f"white space is {known} by {path}, not {spaces}")
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(group: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
 
-    return ChunkEncoder(encode, spaces, special)
+    return ChunkEncoder(encode, spaces or known, special)

@@ -95,7 +95,7 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "tokens")
     token_files.write_tokens(
         read(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
-        spaces="dropped", end_id=2)
+        end_id=2)
     return token_files.read_tokens(spark, path, digest=True)
 
 
@@ -171,8 +171,7 @@ def op7_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode_documents(read(spark, folder, "documents"), ranks, pattern)
-    return byte_bpe.decode_documents(encoded, ranks, pattern, digest=True)
+    return byte_bpe.round_trip(read(spark, folder, "documents"), ranks, pattern)
 
 
 @query("""

@@ -10,13 +10,13 @@ from goldweave.llm.chunks import library_encoder, slices
 from goldweave.llm.tables import id_type, schema, texts
 
 
-def count_tokens(rows: DataFrame, tokenizer: str, spaces: str = "kept", id_col: str = "doc_id",
+def count_tokens(rows: DataFrame, tokenizer: str, spaces: str | None = None, id_col: str = "doc_id",
                  text_col: str = "text", limit: int = 1024) -> DataFrame:
     """One row per input row: the id, ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
     Arrow batches are taken in slices of about equal bytes. Texts of any length are cut at
     spaces no token crosses, so a long text is many small encodings; the encoder returns
-    lengths only. ``spaces`` states how the tokenizer of the file treats white space.
+    lengths only. How white space is treated is read from the file; ``spaces="whole"`` cuts nothing.
 
     A null or empty text has 0 bytes and 0 tokens. Null ids, equal ids and repeated rows are
     counted like any other row; an empty table gives an empty one; other columns are left out.

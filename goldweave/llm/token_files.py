@@ -84,7 +84,7 @@ def restore_planes(data: bytes) -> np.ndarray:
     return out.reshape(-1).view(f"<u{width}")
 
 
-def write_tokens(rows: DataFrame, path: str, tokenizer: str, spaces: str, end_id: int | None = None,
+def write_tokens(rows: DataFrame, path: str, tokenizer: str, spaces: str | None = None, end_id: int | None = None,
                  id_col: str = "doc_id", text_col: str = "text", bits: int = 8,
                  chunk_ids: int = CHUNK_IDS) -> None:
     """Encode every text, append ``end_id``, and write chunks in ascending order of the id.
@@ -108,7 +108,6 @@ def write_tokens(rows: DataFrame, path: str, tokenizer: str, spaces: str, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer, spaces)
-        tail = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
         held: list[tuple[int | None, np.ndarray]] = []
         size = chunk = start = 0
         shard = 0
@@ -136,11 +135,13 @@ def write_tokens(rows: DataFrame, path: str, tokenizer: str, spaces: str, end_id
             for first, column in slices(batch.column(2)):
                 ids, counts = encoder.ids(column)
                 ends = np.cumsum(counts)
+                if end_id is not None:
+                    ids = np.insert(ids, ends, end_id)
+                    counts, ends = counts + 1, ends + np.arange(1, len(ends) + 1)
                 docs = batch.column(1).slice(first, len(column)).to_pylist()
-                for doc, end, n in zip(docs, ends, counts, strict=True):
-                    own = np.concatenate([ids[end - n:end], tail]).astype(np.uint32)
-                    held.append((doc, own))
-                    size += len(own)
+                for doc, end, n in zip(docs, ends.tolist(), counts.tolist(), strict=True):
+                    held.append((doc, ids[end - n:end]))
+                    size += n
                     if size >= chunk_ids:
                         yield flush()
                         held, chunk, start, size = [], chunk + 1, start + size, 0

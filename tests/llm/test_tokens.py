@@ -1,11 +1,16 @@
 """Token counts, token files and byte-level BPE against the libraries."""
 
 import hashlib
+import json
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from goldweave.llm import byte_bpe, chunks, token_counts, token_files
 
@@ -24,6 +29,7 @@ def table(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, n_tokens long, ids string")
 
 
+@lru_cache
 def library(name):
     from tokenizers import Tokenizer
 
@@ -48,13 +54,89 @@ def test_sentence_pieces(table):
     assert found == {i: len(model.encode(t or "")) for i, t in enumerate(TEXTS)}
 
 
-def test_a_full_cache_is_cleared():
-    encoder = chunks.ChunkEncoder(lambda g: [[len(w)] * len(w) for w in g], "dropped", max_entries=2)
-    import pyarrow as pa
-
+@pytest.mark.parametrize("max_bytes", [0, 400, 1 << 20])
+def test_a_full_cache_is_cleared(max_bytes):
+    encoder = chunks.ChunkEncoder(lambda g: [[len(w)] * len(w) for w in g], "dropped", max_bytes=max_bytes)
+    long = "x" * (chunks.LONG + 1)
     for _ in range(3):
-        ids, n = encoder.ids(pa.array(["aa bbb. c", "", "dd aa"]))
-        assert n.tolist() == [7, 0, 4]
+        ids, n = encoder.ids(pa.array(["aa bbb. c", "", f"dd {long}. aa"]))
+        assert n.tolist() == [7, 0, 5 + len(long)]
+        encoder._trim()
+        assert not any(len(w) > chunks.LONG for w in encoder.slot)
+        assert len(encoder.slot) == (7 if max_bytes > 10_000 else 0)
+
+
+# Letters, marks and white space of every kind the libraries treat apart, and whole special strings.
+PARTS = [
+    *"aZé0.,!?;:'-\u0301\u0307\u0308İΣßΑ你ﬁ½٣\x00\x01\x1c\x1d\x1e\x1f\x7f\x85\xa0\u1680\u2003\u2028\u202f\u3000\u200b\u180e\ufeff🙂",
+    " ", " ", " ", " ", "  ", "\n", "\n\n", "\t", "\x0b", "\x0c", "\r\n", "'ll", "'s", "İ!", "word", "Word.", "the",
+    "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>",
+]
+FUZZ = st.lists(st.sampled_from(PARTS), max_size=12).map("".join)
+
+
+def same(encoder, ours, texts):
+    ids, n = encoder.ids(pa.array(texts, pa.string()))
+    ends = np.cumsum(n)
+    for t, e, k in zip(texts, ends, n, strict=True):
+        assert ids[e - k:e].tolist() == ours(t), ascii(t)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(FUZZ, min_size=1, max_size=12))
+def test_ids_of_odd_texts(texts):
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        tokenizer = library(name)
+        same(cutting(public_tokenizers.path(name)),
+             lambda t, k=tokenizer: k.encode(t, add_special_tokens=False).ids, texts)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    same(cutting(path), model(path).encode, [t.replace("\x00", "") for t in texts])
+    for name in ("byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"):
+        path = public_tokenizers.path(name)
+        same(ranked(path).encoder, encoding(path).encode_ordinary, texts)
+
+
+# The library keeps two of each at most.
+cutting = lru_cache(chunks.library_encoder.__wrapped__)
+
+
+@lru_cache
+def ranked(path):
+    return byte_bpe.ByteBpe(path, public_tokenizers.PATTERN)
+
+
+@lru_cache
+def model(path):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+@lru_cache
+def encoding(path):
+    import tiktoken
+
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
+                             mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={})
+
+
+def test_white_space_is_read_from_the_file():
+    found = {n: json.loads(library(n).to_str()) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")}
+    assert [chunks.white_space(f) for f in found.values()] == ["kept", "dropped"]
+    byte, word = found.values()
+    assert chunks.white_space({**byte, "normalizer": {"type": "NFKC"}}) == "whole"
+    assert chunks.white_space({**word, "normalizer": {"type": "Replace", "pattern": {"String": " "}, "content": "_"}}) == "whole"
+    assert chunks.white_space({**word, "pre_tokenizer": None}) == "whole"
+    with pytest.raises(ValueError):
+        chunks.library_encoder(public_tokenizers.path("byte_bpe_50k.json"), "dropped")
+
+
+def test_round_trip_is_both_ways(table):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    apart = byte_bpe.decode_documents(
+        byte_bpe.encode_documents(table, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN, digest=True)
+    found = byte_bpe.round_trip(table, path, public_tokenizers.PATTERN)
+    assert sorted(found.collect()) == sorted(apart.collect())
 
 
 @pytest.mark.parametrize("bits", [1, 8])
