@@ -24,8 +24,8 @@ SLICE_BYTES = 8 << 20
 MIN_DOCUMENTS = 30
 SCALE = 1_000_000_000
 SMOOTH = 5
-# Terms and groups of one task; terms and indicator columns of one product.
-TERM_BLOCK = 4096
+# Terms (by a hash) and groups of one task; terms and indicator columns of one product.
+TERM_BLOCK = 512
 GROUP_BLOCK = 64
 PRODUCT_TERMS = 128
 PRODUCT_COLUMNS = 1024

@@ -31,7 +31,7 @@ SEED = 42
 # The sample for the top of the tree: at most so many fingerprints, 2 MB, on the driver.
 SAMPLE = 1 << 18
 # Fingerprints that live in a shard, as long as the sample can tell so many shards apart.
-SHARD = 1 << 14
+SHARD = 1 << 12
 SAMPLE_PER_SHARD = 32
 LEAF = 512
 # Fingerprints compared at once, and pairs kept before they are folded.
