@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from goldweave import session
 from goldweave.checks.registry import query, ranked, schema_of, table
 from goldweave.operators import (
+    MergeSource,
     Windows,
     catch_up,
-    collapse,
+    collapse_many,
     due_windows,
     latest_in_window,
     window_maxima,
@@ -85,14 +86,17 @@ def catchup(spark, d):
     """All windows in one pass: the first and the last message applied to each user."""
     log = messages(spark, d)
     won = catch_up(log, window_maxima(log, windows(spark, d), **NAMES), item="user_id", seq="seq")
-    first = collapse(won, ["user_id"], insert_only=["first_window", "event_type", "value"])
-    last = collapse(won, ["user_id"], updated=["last_window", "event_type", "value"])
-    applied = won.groupBy("user_id").agg(F.sum("times").alias("applied"))
-    return (
-        first.toDF("user_id", "first_win", "first_type", "first_value")
-        .join(last.toDF("user_id", "last_win", "last_type", "last_value"), "user_id")
-        .join(applied, "user_id")
-    )
+    applied = MergeSource(
+        "m", won, update=["event_type", "value"],
+        insert=["user_id", "first_window", "event_type", "value"],
+        first_by=["first_window"], last_by=["last_window"], weight="times")
+    one = collapse_many([applied], ["user_id"])
+    first, last = F.col(applied.first), F.col(applied.last)
+    return one.select(
+        "user_id", first["first_window"].alias("first_win"), first["event_type"].alias("first_type"),
+        first["value"].alias("first_value"), last["last_window"].alias("last_win"),
+        last["event_type"].alias("last_type"), last["value"].alias("last_value"),
+        F.col(applied.count).alias("applied"))
 
 
 _CONTROL = (

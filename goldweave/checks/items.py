@@ -28,6 +28,7 @@ from goldweave.plans.item_load import (
     LoadInputs,
     Paths,
     caught_up,
+    load_outcome,
     plan_load,
     reject_constants,
     run_item_load,
@@ -200,6 +201,7 @@ def _inputs(spark, d, mode: str, small: bool = False) -> LoadInputs:
         mode=mode,
         messages=caught_up(log, windows(spark, d)) if mode == "A" else None,
         small=small,
+        stage=True,
     )
 
 
@@ -284,6 +286,41 @@ def item_load_run_c(spark, d):
     return w.master()
 
 
+@query("item_load_run_parts", load_sql("B", "A", master=load_sql("B")))
+def item_load_run_parts(spark, d):
+    """Two loads into a master in parts; the second reads and writes the parts of its items only."""
+    w = _World(spark, d)
+    w.run("B", parts=32)
+    w.run("B", "A", parts=32)
+    return w.master()
+
+
+_FAILED = (
+    "SELECT 1 AS code, '{}' AS message, '{}' AS location, false AS published, 0 AS warnings, "
+    "CAST(NULL AS BIGINT) AS rows_in, CAST(NULL AS BIGINT) AS rows_merged"
+)
+
+
+@query(
+    "load_outcome",
+    " UNION ALL ".join([
+        f"SELECT 0 AS code, 'SUCCESS' AS message, 'done' AS location, true AS published, 0 AS warnings, "
+        f"(SELECT count(*) FROM lineitem WHERE l_returnflag = '{SOURCE}') AS rows_in, "
+        f"(SELECT count(*) FROM ({_PARSED_SQL})) AS rows_merged",
+        _FAILED.format("run r1 has been committed before", "call"),
+        _FAILED.format("a load needs a source", "call"),
+        _FAILED.format("frequency of t: expected one row, found none", "lookups"),
+    ]),
+)
+def outcomes(spark, d):
+    """A load that is published, the same again, one without a source, one of an unknown job."""
+    w = _World(spark, d)
+    options = {"run_ts": datetime(2024, 2, 1), "run_user": USER, "mode": "B"}
+    calls = [(SOURCE, "s", "r1"), (SOURCE, "s", "r1"), ("", "s", "r2"), (SOURCE, "t", "r3")]
+    rows = [load_outcome(spark, w.paths, a, b, run_id=r, **options) for a, b, r in calls]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+
+
 @query("item_load_rerun", load_sql("B"))
 def item_load_rerun(spark, d):
     """The same load once more is refused, and the master stays as published."""

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from goldweave import session
 from goldweave.checks.merging import COLUMNS, KEYS, feed, master
 from goldweave.checks.merging import _FEED, _MASTER
-from goldweave.checks.registry import query, ranked
+from goldweave.checks.registry import crc32_sql, query, ranked
 from goldweave.operators import insert_new, upsert
-from goldweave.sources import Store, publish
+from goldweave.sources import Layout, Store, publish, publish_touched
 
 _PAYLOAD = ["status", "price", "priority", "shipped"]
 _NEW = (
@@ -51,3 +51,31 @@ def published_master(spark, d):
     rows = feed(spark, d).select("item", "line", "price")
     publish(upsert(current, rows, KEYS, ["price"], [*KEYS, "price"]), store, "master", "v2")
     return store.read("master", first.schema)
+
+
+_PARTS = 64
+_LAST_DAY = f"SELECT item, line, price FROM ({_FEED}) WHERE shipped = (SELECT max(l_shipdate) FROM lineitem)"
+
+
+@query(
+    "publish_touched",
+    f"SELECT coalesce(m.item, f.item) AS item, coalesce(m.line, f.line) AS line, "
+    "CASE WHEN f.item IS NULL THEN m.price ELSE f.price END AS price, "
+    f"(SELECT count(DISTINCT {crc32_sql('CAST(item AS VARCHAR)')} % {_PARTS}) FROM ({_LAST_DAY})) "
+    f"AS parts_written FROM ({_MASTER}) m FULL JOIN "
+    f"(SELECT item, line, max(price) AS price FROM ({_LAST_DAY}) GROUP BY 1, 2) f "
+    "ON m.item = f.item AND m.line = f.line",
+)
+def publish_last_day(spark, d):
+    """The feed of the newest day merged into a master in parts: only the parts of its items are written."""
+    store = Store(spark, f"{session.shared_folder(spark)}/goldweave-checks/{uuid.uuid4().hex}")
+    layout = Layout(("item",), _PARTS)
+    first = master(spark, d).select("item", "line", "price")
+    store.commit([store.write_parts(first, "master", "v1", layout)], "v1")
+    rows = feed(spark, d)
+    newest = rows.agg(F.max("shipped").alias("shipped"))
+    rows = rows.join(newest, "shipped", "left_semi").select("item", "line", "price")
+    done = publish_touched(
+        store, "master", first.schema, "v2", layout, rows,
+        lambda old: upsert(old, rows, KEYS, ["price"], [*KEYS, "price"]))
+    return done.rows.withColumn("parts_written", F.lit(len(done.rewritten)).cast("long"))

@@ -69,6 +69,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, byte by byte and bit by bit."""
+    steps = (
+        f"list_concat([4294967295], flatten(list_transform(string_split({text}, ''), lambda s: "
+        "list_concat([CAST(ascii(s) AS BIGINT)], list_transform(range(8), lambda z: CAST(-1 AS BIGINT))))))"
+    )
+    return (
+        f"CAST(xor(list_reduce({steps}, lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) "
+        "WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295) AS BIGINT)"
+    )
+
+
 def ranked(columns: Sequence[str], last: bool = False) -> str:
     return ", ".join(f"{c} {'DESC NULLS LAST' if last else 'ASC NULLS FIRST'}" for c in columns)
 

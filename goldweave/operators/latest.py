@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldweave.operators.filters import key_filter
 from goldweave.operators.joins import join_unique
 from goldweave.operators.windows import Windows
 
@@ -54,6 +55,7 @@ def catch_up(
     item: str = "item",
     seq: str = "seq_num",
     window: str = "window",
+    prefilter: bool = True,
 ) -> DataFrame:
     """Messages that win in some window, with ``first_window, last_window, times``.
 
@@ -61,12 +63,16 @@ def catch_up(
     first and its last application can show in the outcome. Folding the maxima
     to one row per (item, number) keeps the join from repeating a message once
     per window.
+
+    The log is wide and few of its messages win. With ``prefilter`` those that cannot are left
+    out where they are read, by a bitmap of the winners of bounded size, and are not shuffled.
     """
     spans = maxima.where(F.col(item).isNotNull() & F.col(seq).isNotNull()).groupBy(item, seq).agg(
         F.min(window).alias("first_window"),
         F.max(window).alias("last_window"),
         F.count("*").alias("times"),
     )
-    return join_unique(messages, spans, [item, seq], "inner").select(
+    held = key_filter(messages, spans, [item, seq]) if prefilter else messages
+    return join_unique(held, spans, [item, seq], "inner").select(
         *messages.columns, "first_window", "last_window", "times"
     )

@@ -28,15 +28,15 @@ from goldweave.operators.normalize import (
     stamps,
 )
 from goldweave.operators.quarantine import Rule, as_rejects, not_null, offset_date, split_rejects
-from goldweave.operators.sizing import fits_in_memory
+from goldweave.operators.sizing import Size, fits_in_memory, row_width
 from goldweave.operators.update import expand_to_keys
 from goldweave.operators.upsert import merge
 from goldweave.operators.windows import Windows, advance, due_windows
 from goldweave.plans.audit import Audit
 from goldweave.plans.control import close_sync
 from goldweave.sources.lookup import job_frequency, lookup_one, property_is_on
-from goldweave.sources.snapshot import AlreadyCommitted, Store, append_rejects
-from goldweave.sources.tables import deleted_rows, flag_rows, of_source, read_table, source_count
+from goldweave.sources.snapshot import AlreadyCommitted, Layout, Store, append_rejects
+from goldweave.sources.tables import deleted_rows, flag_rows, of_source, read_changes, read_table
 
 MESSAGES, FEED, FLAGS, DELETES = "messages", "feed", "flags", "deleted"
 DUPLICATES = "duplicates"
@@ -67,6 +67,51 @@ class LoadInputs:
     bad_dates: str = "abort"
     distinct: bool = True
     small: bool = False
+    # Write what an insert-only load finds new once, instead of deriving it for each outcome.
+    stage: bool = False
+
+
+@dataclass(frozen=True)
+class StagedFeed:
+    """The feed rows of a load, written once, and what was counted from the written rows.
+
+    Numbers come from the table that was written, never from the pass that wrote it: a task
+    that ran twice has written its rows once.
+    """
+
+    rows: DataFrame
+    in_rows: int
+    highest: int | None
+    deleted: int
+    size: Size
+
+    def mine(self) -> DataFrame:
+        return self.rows.where("_mine").drop("_mine", "_width")
+
+
+def stage_feed(feed: DataFrame, source: str, delete: bool = True) -> StagedFeed:
+    """One pass over the feed: rows of the source, and those of any source in the deleted state.
+
+    ``size`` is what a merge of them would broadcast. Without ``delete`` no other source's rows
+    are kept.
+    """
+    gone = F.coalesce(F.col("sys_ent_state") == S.DELETED, F.lit(False))
+    mine = F.coalesce(F.col("sys_source") == source, F.lit(False))
+    kept = (mine | gone) if delete else mine
+    rows = session.staged(
+        feed.where(kept).withColumns({"_mine": mine, "_width": row_width(feed.schema)}), "feed")
+    gone = gone if delete else F.lit(False)
+    keys = row_width(feed.select(*S.KEYS).schema)
+    found = rows.agg(
+        F.count_if("_mine").alias("n"),
+        F.max(F.when(F.col("_mine"), F.col("transaction_seq"))).alias("highest"),
+        F.count_if(gone).alias("deleted"),
+        F.coalesce(F.sum(F.when(F.col("_mine"), F.col("_width"))), F.lit(0)).alias("width"),
+        F.coalesce(F.sum(F.when(gone, keys)), F.lit(0)).alias("keys"),
+    ).first()
+    return StagedFeed(
+        rows, found["n"], found["highest"], found["deleted"],
+        Size(found["n"] + found["deleted"], found["width"] + found["keys"]))
 
 
 @dataclass(frozen=True)
@@ -134,7 +179,7 @@ def plan_load(i: LoadInputs) -> LoadPlan:
     if i.mode == "C":
         loaded = insert_new(
             i.master, rows, S.KEYS, S.FEED_C_INSERT, constants=stamps(i.run_ts),
-            null_keys="absent", distinct=False,
+            null_keys="absent", distinct=False, stage=session.staged if i.stage else None,
         )
         rejects[DUPLICATES] = loaded.duplicates.withColumns(
             {
@@ -193,10 +238,12 @@ class RunResult:
     message: str
     counts: dict[str, int] = field(default_factory=dict)
     version: int | None = None
+    # What went wrong once the load was published: it stands, and must not be run again.
+    warnings: tuple[str, ...] = ()
 
 
 class LoadFailed(RuntimeError):
-    """A load that stopped. Nothing of it is visible but its audit rows."""
+    """A load that stopped before it was published. Nothing of it is visible but its audit rows."""
 
     def __init__(self, step: str, cause: BaseException):
         super().__init__(f"item load at {step}: {cause}")
@@ -228,28 +275,34 @@ def run_item_load(
     bad_dates: str = "abort",
     distinct: bool = True,
     buckets: int | None = None,
+    parts: int | None = None,
 ) -> RunResult:
     """Run one load and publish its outcome, all of it or nothing.
 
     ``feed_rules`` and ``message_rules`` say which rows are rejected; feed rows
     without a key always are. ``bad_dates='reject'`` turns dates that do not
     parse into rejects. ``buckets`` lays the master out by its key, which saves
-    every later load the shuffle of the master.
+    every later load the shuffle of the master. ``parts`` lays it out by its item
+    instead: a load then reads and writes only the parts that hold an item of its
+    sources, and leaves the files of all others as they are.
 
     A run id that has been committed is refused before anything is written. The
-    merge is audited as done once it is committed, and a failure always leaves an
-    audit row.
+    merge is audited as done once it is committed, and a failure before always leaves an
+    audit row. An audit row that cannot be written after the commit does not undo it:
+    the load is a success, with a warning.
     """
     if not source:
         raise ValueError("a load needs a source")
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    if buckets and parts:
+        raise ValueError("a master is laid out in buckets or in parts, not both")
     run_id = run_id or f"{sync_id}-{source}-{mode}-{run_ts:%Y%m%dT%H%M%S%f}"
     with session.load_settings(spark):
         return _run(
             spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id, run_id,
             dict(feed_rules=feed_rules, message_rules=message_rules, flag_rules=flag_rules,
-                 bad_dates=bad_dates, distinct=distinct), buckets)
+                 bad_dates=bad_dates, distinct=distinct), buckets, parts)
 
 
 def reject_constants(step: str, source: str, run_user: str) -> dict[str, Column]:
@@ -263,7 +316,7 @@ def reject_constants(step: str, source: str, run_user: str) -> dict[str, Column]
 
 
 def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id, run_id, options,
-         buckets) -> RunResult:
+         buckets, parts) -> RunResult:
     audit = Audit(spark, paths.audit, run_id, job_instance_id, sync_id)
     now, store = instant(run_ts), Store(spark, paths.store)
     if store.is_committed(run_id):
@@ -275,9 +328,9 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
         delete = property_is_on(
             read_table(spark, paths.properties, S.PROPERTY_SCHEMA), DELETE_PROPERTY
         )
-        feed = read_table(spark, paths.feed, S.FEED_SCHEMA)
-        mine = of_source(feed, source)
-        in_rows = source_count(mine).first()["in_rows"]
+        at = "feed"
+        feed = stage_feed(read_table(spark, paths.feed, S.FEED_SCHEMA), source, delete)
+        in_rows = feed.in_rows
 
         at = "audit"
         step = audit.start("MERGE", f"Merge the item feed into the item master for {source}", in_rows)
@@ -294,32 +347,47 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
             if windows.n:
                 at = "messages"
                 # used by the size check, the merge and the rejects; the log is the largest input
-                log = read_table(spark, paths.changes, S.MESSAGE_SCHEMA)
+                log = read_changes(spark, paths.changes)
                 messages = session.staged(caught_up(log, windows), "messages")
 
         at = "merge"
         options["feed_rules"] = [
             *KEY_RULES, *[r for r in options["feed_rules"] if not any(r is k for k in KEY_RULES)]]
-        sides = [mine, *([] if messages is None else [messages])]
-        sides += [deleted_rows(feed).select(*S.KEYS)] if delete else []
+        sides = [feed.size, *([] if messages is None else [messages])]
+        small = fits_in_memory(*sides)
+        layout = Layout(("item_id",), parts) if parts else None
+        touched = None
+        if layout and store.layout(MASTER_TABLE) == layout:
+            # Flags go by the item, so an item's part is all that any row can reach.
+            items = feed.rows.select("item_id")
+            touched = layout.of(items if messages is None else items.union(messages.select("item_id")))
+        before = (store.read(MASTER_TABLE, S.MASTER_SCHEMA) if touched is None
+                  else store.read_parts(MASTER_TABLE, S.MASTER_SCHEMA, touched))
         plan = plan_load(
             LoadInputs(
-                master=store.read(MASTER_TABLE, S.MASTER_SCHEMA),
-                feed=feed,
+                master=before,
+                feed=feed.rows.drop("_mine", "_width"),
                 source=source,
                 run_ts=now,
                 run_user=run_user,
                 mode=mode,
                 messages=messages,
                 delete=delete,
-                small=fits_in_memory(*sides),
+                small=small,
+                stage=True,
                 **options,
             )
         )
-        master = store.write(
-            plan.master, MASTER_TABLE, run_id,
-            buckets=buckets, bucket_columns=S.KEYS if buckets else None,
-        )
+        if layout:
+            # Where nothing was shuffled, the rows of a part are in the tasks that read it.
+            master = store.write_parts(
+                plan.master, MASTER_TABLE, run_id, layout, touched,
+                gather=touched is None or not small)
+        else:
+            master = store.write(
+                plan.master, MASTER_TABLE, run_id,
+                buckets=buckets, bucket_columns=S.KEYS if buckets else None,
+            )
         at = "rejects"
         rejected = _union(
             [as_rejects(r, name, run_id, now, reject_constants(name, source, run_user))
@@ -328,10 +396,13 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
         errors = append_rejects(rejected, store, run_id)
 
         at = "counts"
-        counts = merge_counts(spark.read.parquet(master.path), plan.sources).first().asDict()
+        written = spark.read.schema(plan.master.schema).parquet(master.path)
+        counts = merge_counts(written, plan.sources).first().asDict()
         counts["in_rows"] = in_rows
         counts[f"{FLAGS}_merged"] = flag_rows(plan.flags, flags=["is_emc"]).count()
         counts["rejected"] = spark.read.parquet(errors.path).count()
+        if layout:
+            counts["parts_written"] = len(master.rewritten)
         merged = counts[f"{FEED}_inserted"] if mode == "C" else counts[f"{FEED}_merged"]
         inserted = sum(v for k, v in counts.items() if k.endswith("_inserted"))
         updated = counts[f"{FLAGS}_updated"] + counts.get(f"{DELETES}_updated", 0)
@@ -340,11 +411,19 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
             "rows_updated": 0, "rows_rejected": counts["rejected"],
         }
         at = "control"
-        closed = close_sync(control, mine, sync_id, now, job_instance_id)
+        highest = spark.range(1).select(F.lit(feed.highest).cast("long").alias("transaction_seq"))
+        closed = close_sync(control, highest, sync_id, now, job_instance_id)
         state = store.write(closed.coalesce(1), CONTROL_TABLE, run_id)
         at = "publish"
         version = store.commit([master, errors, state], run_id)
-        at = "audit"
+    except Exception as e:
+        if step is None:
+            step = audit.start("MERGE", f"Merge the item feed into the item master for {source}", in_rows)
+        audit.end(step, f"ERROR{e}", rows_in=in_rows, rows_merged=merged, rows_rejected=1)
+        raise LoadFailed(at, e) from e
+    # The load is published: whatever fails from here on cannot make it a failure.
+    warnings = []
+    try:
         audit.end(step, "INSERT SUCCEEDED" if mode == "C" else "MERGE SUCCEEDED", **done)
         audit.end(step, "UPDATE SUCCEEDED", **{**done, "rows_updated": updated})
         step = audit.start("UPDATE_SYNCUP", "Close the control row")
@@ -352,12 +431,30 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
             step, f"UPDATE SUCCEEDED{run_ts:%Y-%m-%d %H:%M:%S}:{sync_id}",
             rows_in=in_rows, rows_merged=merged,
         )
-        return RunResult(0, "SUCCESS", counts, version)
     except Exception as e:
-        if step is None:
-            step = audit.start("MERGE", f"Merge the item feed into the item master for {source}", in_rows)
-        audit.end(step, f"ERROR{e}", rows_in=in_rows, rows_merged=merged, rows_rejected=1)
-        raise LoadFailed(at, e) from e
+        warnings.append(f"published as version {version}, but its audit is incomplete: {e}")
+    return RunResult(0, "SUCCESS", counts, version, tuple(warnings))
+
+
+OUTCOME = "code int, message string, location string, published boolean, warnings int, rows_in long, rows_merged long"
+
+
+def load_outcome(spark: SparkSession, paths: Paths, source: str, sync_id: str, **options) -> DataFrame:
+    """Run a load and return how it ended, as one row, whatever happened.
+
+    ``code`` is 0 and ``message`` SUCCESS after a load that was published, also one with
+    ``warnings``; otherwise ``code`` is 1, ``message`` says why and ``location`` at which step.
+    Arguments are those of :func:`run_item_load`; ones it refuses are a failure at ``call``.
+    """
+    try:
+        r = run_item_load(spark, paths, source, sync_id, **options)
+        merged = r.counts[f"{FEED}_inserted" if options.get("mode") == "C" else f"{FEED}_merged"]
+        row = (r.code, r.message, "done", True, len(r.warnings), r.counts["in_rows"], merged)
+    except LoadFailed as e:
+        row = (e.code, str(e.__cause__), e.step, False, 0, None, None)
+    except ValueError as e:
+        row = (1, str(e), "call", False, 0, None, None)
+    return spark.createDataFrame([row], OUTCOME)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

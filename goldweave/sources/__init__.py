@@ -1,5 +1,12 @@
 from goldweave.sources.lookup import LookupFailed, job_frequency, lookup_one, property_is_on
-from goldweave.sources.snapshot import AlreadyCommitted, Store, append_rejects, publish
+from goldweave.sources.snapshot import (
+    AlreadyCommitted,
+    Layout,
+    Store,
+    append_rejects,
+    publish,
+    publish_touched,
+)
 from goldweave.sources.tables import (
     deleted_rows,
     flag_rows,
@@ -12,6 +19,7 @@ from goldweave.sources.tables import (
 
 __all__ = [
     "AlreadyCommitted",
+    "Layout",
     "LookupFailed",
     "Store",
     "append_rejects",
@@ -22,6 +30,7 @@ __all__ = [
     "of_source",
     "property_is_on",
     "publish",
+    "publish_touched",
     "read_changes",
     "read_feed",
     "read_table",

@@ -6,16 +6,21 @@ all of a run or nothing of it. Every attempt has a directory of its own, so what
 a commit names is never written again; a run that dies leaves only directories
 nobody reads. The commit table grows by one small file per run. One writer at a
 time is assumed.
+
+A table may be laid out in parts, by a hash of some of its columns. A run that
+changes few keys then writes only the parts those keys are in; its commit names
+the new folders of these and the old folders of all others.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +36,10 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("window_end", T.LongType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("bucket_columns", T.StringType()),
+        # Of a table in parts: how many, by which columns, and the folder of each that has rows.
+        T.StructField("parts", T.IntegerType()),
+        T.StructField("part_columns", T.StringType()),
+        T.StructField("part_paths", T.MapType(T.IntegerType(), T.StringType())),
     ]
 )
 
@@ -39,6 +48,10 @@ COMMIT_SCHEMA = T.StructType(
 ATTEMPT = "attempt"
 
 
+# Folder of one part, as a partition column of an attempt.
+PART = "part"
+
+
 class AlreadyCommitted(ValueError):
     """The run id has been used by a completed run."""
 
@@ -56,12 +69,37 @@ def short_name(path: str) -> str:
     return hashlib.sha256(path.encode()).hexdigest()[:16]
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Rows with equal ``columns`` are in one of ``parts`` parts.
+
+    A part is what a change to any of its rows rewrites: have so many that one is a few
+    gigabytes. Their number bounds the map in a commit and what is collected to plan a write.
+    """
+
+    columns: tuple[str, ...]
+    parts: int
+
+    def number(self) -> Column:
+        """The part of a row; the same in every version of every engine, as it stays on disk."""
+        text = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in self.columns])
+        return F.pmod(F.crc32(text), F.lit(self.parts)).cast("int")
+
+    def of(self, rows: DataFrame) -> set[int]:
+        """The parts that hold the keys of ``rows``: at most ``parts`` numbers."""
+        return {r[0] for r in rows.select(self.number().alias(PART)).distinct().collect()}
+
+
 @dataclass(frozen=True)
 class Written:
     table: str
     path: str
     buckets: int | None = None
     bucket_columns: str | None = None
+    layout: Layout | None = None
+    # The folders of all parts after this write, and the parts that it wrote.
+    part_paths: dict[int, str] | None = None
+    rewritten: frozenset[int] = frozenset()
 
 
 @dataclass(frozen=True)
@@ -88,10 +126,30 @@ class Store:
         c = self._current(table)
         if c is None:
             return self.spark.createDataFrame([], schema)
+        if c["parts"]:
+            return self._parts(c, schema)
         if c["buckets"]:
             return self._bucketed(c, schema)
         return self.spark.read.schema(schema).parquet(c["path"])
 
+    def layout(self, table: str) -> Layout | None:
+        """How a table is laid out in parts, if it is."""
+        c = self._current(table)
+        return Layout(tuple(c["part_columns"].split(",")), c["parts"]) if c and c["parts"] else None
+
+    def read_parts(self, table: str, schema: T.StructType, parts: Collection[int]) -> DataFrame:
+        """The rows of some parts of a table in parts; the files of others are not even listed."""
+        c = self._current(table)
+        if c is None or not c["parts"]:
+            raise ValueError(f"{table} is not laid out in parts")
+        return self._parts(c, schema, parts)
+
+    def _parts(self, c: Row, schema: T.StructType, only: Collection[int] | None = None) -> DataFrame:
+        paths = [p for n, p in sorted(c["part_paths"].items()) if only is None or n in only]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
     def _bucketed(self, c: Row, schema: T.StructType) -> DataFrame:
         """Read a bucketed directory with its layout, so joins on the key skip the shuffle."""
         name = f"goldweave_read_{short_name(c['path'])}"
@@ -154,6 +212,48 @@ class Store:
         self.spark.sql(f"DROP TABLE {name}")
         return Written(table, path, buckets, ", ".join(bucket_columns))
 
+    def write_parts(
+        self,
+        rows: DataFrame,
+        table: str,
+        run_id: str,
+        layout: Layout,
+        touched: Collection[int] | None = None,
+        *,
+        gather: bool = True,
+    ) -> Written:
+        """Write the next state of some parts of a table, not visible yet; the others stay as they are.
+
+        ``rows`` is all that the ``touched`` parts hold afterwards; a row that belongs elsewhere
+        is an error, as its part would lose what it has. Without ``touched`` all parts are
+        written, whatever the table was before.
+
+        ``gather`` brings the rows of a part together (Spark splits a part that is too large for
+        one task, and puts small ones together). Rows that are where they were read from, as
+        after a merge of a small source, need no shuffle: each file is of one part.
+        """
+        if self.is_committed(run_id):
+            raise AlreadyCommitted(f"run {run_id} has been committed before")
+        before: dict[int, str] = {}
+        if touched is not None:
+            if self.layout(table) != layout:
+                raise ValueError(f"{table} is not laid out by {layout}")
+            kept = self._current(table)["part_paths"]
+            before = {n: p for n, p in kept.items() if n not in touched}
+        path = f"{self.root}/{table}/{ATTEMPT}={uuid.uuid4().hex}"
+        dealt = rows.withColumn(PART, layout.number())
+        if gather:
+            dealt = dealt.hint("rebalance", PART)
+        dealt.write.partitionBy(PART).parquet(path)
+        found = self.spark.read.schema(f"{PART} int").parquet(path).select(PART).distinct().collect()
+        new = {r[0]: f"{path}/{PART}={r[0]}" for r in found}
+        strays = set() if touched is None else set(new) - set(touched)
+        if strays:
+            raise ValueError(f"{table}: rows of parts that were not named as touched: {sorted(strays)}")
+        return Written(
+            table, path, layout=layout, part_paths=before | new,
+            rewritten=frozenset(new if touched is None else touched))
+
     def commit(
         self,
         written: list[Written],
@@ -167,7 +267,8 @@ class Store:
             raise AlreadyCommitted(f"run {run_id} has been committed before")
         version = (self.commits().agg(F.max("version")).first()[0] or 0) + 1
         rows = [
-            (version, w.table, w.path, run_id, stream, window_end, w.buckets, w.bucket_columns)
+            (version, w.table, w.path, run_id, stream, window_end, w.buckets, w.bucket_columns,
+             w.layout and w.layout.parts, w.layout and ",".join(w.layout.columns), w.part_paths)
             for w in written
         ]
         one = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
@@ -180,6 +281,40 @@ def publish(rows: DataFrame, store: Store, table: str, run_id: str) -> int:
     return store.commit([store.write(rows, table, run_id)], run_id)
 
 
+@dataclass(frozen=True)
+class Touched:
+    """What :func:`publish_touched` did: the table as it is now, and the parts it wrote."""
+
+    rows: DataFrame
+    version: int
+    rewritten: frozenset[int]
+    parts: int
+
+
+def publish_touched(
+    store: Store,
+    table: str,
+    schema: T.StructType,
+    run_id: str,
+    layout: Layout,
+    keys: DataFrame,
+    change: Callable[[DataFrame], DataFrame],
+    *,
+    gather: bool = True,
+) -> Touched:
+    """Change the parts of a table that hold ``keys``, and leave all others as they are.
+
+    ``keys`` has the layout's columns of every row that may change or be added; ``change`` maps
+    the rows of their parts to the new ones. A table that is not in this layout yet is read and
+    written as a whole. ``gather`` is as in :meth:`Store.write_parts`.
+    """
+    touched = layout.of(keys) if store.layout(table) == layout else None
+    old = store.read(table, schema) if touched is None else store.read_parts(table, schema, touched)
+    written = store.write_parts(change(old), table, run_id, layout, touched, gather=gather or touched is None)
+    version = store.commit([written], run_id)
+    return Touched(store.read(table, schema), version, written.rewritten, layout.parts)
+
+
 def append_rejects(rejects: DataFrame, store: Store, run_id: str) -> Written:
     """Write a run's rejects; they show once the run commits."""
     names = [f.name for f in S.REJECT_SCHEMA.fields]
