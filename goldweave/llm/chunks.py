@@ -25,11 +25,11 @@ _CHUNK = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 _ODD = r"[\pZ\s\x0b\x85][\pZ\s\x0b\x85]|\x00"
 _ENDED = re.compile("(?s:.*)[A-Za-z][.,;:!?]").fullmatch
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 ENCODE_BYTES = 64 << 10
 # What is kept in a worker, about: an entry costs ENTRY_BYTES besides its text and ids. A chunk
-# longer than LONG is encoded, but not kept.
-CACHE_BYTES = 96 << 20
+# longer than LONG is encoded, but not kept. When full, the more used half stays.
+CACHE_BYTES = 256 << 20
 ENTRY_BYTES = 190
 LONG = 256
 
@@ -76,6 +76,7 @@ class ChunkEncoder:
     def _clear(self) -> None:
         self.slot: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.uses = np.zeros(1024, np.int32)
         self.pool, self.used = np.zeros(4096, np.uint32), 0
         self.characters = 0
         # Entries, ids and characters to go back to: long chunks come after them.
@@ -87,10 +88,12 @@ class ChunkEncoder:
         if k + n > len(self.starts):
             self.starts = np.resize(self.starts, 2 * (k + n))
             self.lengths = np.resize(self.lengths, 2 * (k + n))
+            self.uses = np.resize(self.uses, 2 * (k + n))
         if self.used + len(ids) > len(self.pool):
             self.pool = np.resize(self.pool, 2 * (self.used + len(ids)))
         self.slot.update(zip(words, range(k, k + n), strict=True))
         self.lengths[k:k + n] = lengths
+        self.uses[k:k + n] = 0
         self.starts[k:k + n] = self.used + np.cumsum(lengths) - lengths
         self.pool[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
@@ -164,17 +167,25 @@ class ChunkEncoder:
             self.kept = len(self.slot), self.used, self.characters
             self._learn([w for w in missing if len(w) > LONG])
         slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
+        self.uses[slots] += 1
         return slots[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), counts
 
     def _trim(self) -> None:
-        """Forget long chunks of the last texts, and everything if it has grown too large."""
+        """Forget long chunks of the last texts, and the less used half if there is too much."""
         size, self.used, self.characters = self.kept
         while len(self.slot) > size:
             self.slot.popitem()
-        if ENTRY_BYTES * size + self.characters + 4 * self.used > self.max_bytes:
-            self._clear()
-        elif 4 * len(self.pool) > 2 * self.max_bytes:
-            self.pool = self.pool[:max(self.used, 4096)].copy()
+        if ENTRY_BYTES * size + self.characters + 4 * self.used <= self.max_bytes:
+            return
+        words, uses = list(self.slot), self.uses[:size]
+        # In the order of slots; of equally used ones the later come first.
+        stay = np.sort(np.lexsort((-np.arange(size), -uses))[:size // 2])
+        words = [words[i] for i in stay.tolist()]
+        ids, lengths = self._gather(stay), self.lengths[stay]
+        self._clear()
+        if ENTRY_BYTES * len(words) + sum(map(len, words)) + 4 * len(ids) <= self.max_bytes:
+            self._put(words, ids, lengths)
+            self.kept = len(self.slot), self.used, self.characters
 
     def counts(self, column: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
