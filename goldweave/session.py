@@ -38,12 +38,26 @@ def load_settings(spark: SparkSession):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir``, else the warehouse.
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else the folder set on the
+    context for checkpoints, else the warehouse.
 
-    Both are resolved by Spark's file systems, so every executor reaches them.
+    All are resolved by Spark's file systems, so every executor reaches them. A warehouse on one
+    machine's disk will not do for a cluster: it is refused.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if not context.master.startswith("local") and _on_disk(spark, folder):
+            raise ValueError(
+                f"set spark.checkpoint.dir to a folder that all machines share: {folder} is one machine's")
+    return folder.rstrip("/")
+
+
+def _on_disk(spark: SparkSession, folder: str) -> bool:
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getScheme() == "file"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
