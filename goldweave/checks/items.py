@@ -33,8 +33,8 @@ from goldweave.plans.item_load import (
     reject_constants,
     run_item_load,
 )
-from goldweave.sources.snapshot import AlreadyCommitted, Store, append_rejects, publish
-from goldweave.streaming.catchup import start_catch_up
+from goldweave.sources.snapshot import AlreadyCommitted, Layout, Store, append_rejects, publish
+from goldweave.streaming.catchup import start_catch_up, start_state_catch_up
 
 USER, SOURCE = "loader", "R"
 _RUN = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -360,6 +360,21 @@ def stream_merge(spark, d):
     return store.read(MASTER_TABLE, S.MASTER_SCHEMA)
 
 
+@query("stream_state_merge", load_sql("A", feed=False))
+def stream_state_merge(spark, d):
+    """The same from the messages that the stream keeps itself, into a master in parts."""
+    store, layout = Store(spark, session.scratch(spark, "stream")), Layout(("item_id",), 16)
+    seed = typed(_inputs(spark, d, "B").master, S.MASTER_SCHEMA)
+    store.commit([store.write_parts(seed, MASTER_TABLE, "seed", layout)], "seed")
+    events = spark.readStream.schema(schema_of("events")).option("pathGlobFilter", "events.parquet").parquet(d)
+    messages = typed(events.selectExpr(*[f"{e} AS {c}" for c, e in MESSAGES.items()]), S.MESSAGE_SCHEMA)
+    start_state_catch_up(
+        messages, windows(spark, d), store, name="m", checkpoint=session.scratch(spark, "checkpoint"),
+        run_user=USER, run_ts=lambda: F.lit("2024-02-01 00:00:00").cast("timestamp"), layout=layout,
+    ).awaitTermination()
+    return store.read(MASTER_TABLE, S.MASTER_SCHEMA)
+
+
 @query(
     "message_rejects",
     "SELECT item AS item_id, ' ' AS revision, item_description AS name, 'PART' AS item_type, "
