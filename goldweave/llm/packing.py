@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldweave.llm.chunks import library_encoder, slices
 from goldweave.llm.tables import id_type, schema, texts
-from goldweave.llm.token_files import restore_planes, shuffle_planes
+from goldweave.operators.joins import join_unique
 from goldweave.session import scratch
 
 LENGTH = 2048
 SHARD_TOKENS = 4 << 20
-PARTITION_TOKENS = 16 << 20
+#: Keys are dealt into buckets, this many to a shard on average, and runs of so many buckets are
+#: cut into shards by themselves. A table of up to MAX_BROADCAST buckets is broadcast.
+BUCKETS_PER_SHARD = 8
+RUN_BITS = 12
+MAX_BROADCAST = 1 << 16
 #: Terms in more than this share of a shard's documents are kept as rows of weights by document.
 DENSE = 1 / 8
 NEIGHBOURS = 64
@@ -77,12 +80,17 @@ class Bm25:
             part = slice(self.starts[k], self.ends[k])
             self.scores[self.owner[part]] += self.weight[part]
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents by falling score; those without a shared term are left out."""
+    def neighbours(self, seed: int, unused: np.ndarray, want: int = NEIGHBOURS) -> np.ndarray:
+        """Unused documents by falling score; those without a shared term are left out.
+
+        The best ``want`` of them: it is asked again once these are used.
+        """
+        if not len(self.queries[seed]):
+            return np.zeros(0, np.int64)
         self.score(seed)
         hit = np.flatnonzero((self.scores > 0) & unused)
-        if len(hit) > NEIGHBOURS:  # asked again once these are used
-            hit = hit[np.argpartition(-self.scores[hit], NEIGHBOURS)[:NEIGHBOURS]]
+        if len(hit) > want:
+            hit = hit[np.argpartition(-self.scores[hit], want)[:want]]
         return hit[np.lexsort((hit, -self.scores[hit]))]
 
 
@@ -93,9 +101,15 @@ def order_by_retrieval(docs: list[np.ndarray], length: int, ends: int = 0) -> li
 
     A seed opens a window and its best unused neighbours fill it; the document that reaches
     over the end of the window is the seed of the next one. Without a neighbour left, the
-    next unused document follows.
+    next unused document follows. Documents without an id to search by come last.
     """
+    sizes = np.fromiter(map(len, docs), np.int64, len(docs))
+    if (sizes == ends).any():
+        rest = np.flatnonzero(sizes > ends)
+        inner = order_by_retrieval([docs[i] for i in rest], length, ends) if len(rest) else []
+        return [*rest[inner].tolist(), *np.flatnonzero(sizes == ends).tolist()]
     index = Bm25([d[:len(d) - ends] for d in docs])
+    usual = float(sizes.mean()) if len(docs) else 1.0
     unused = np.ones(len(docs), bool)
     order: list[int] = []
     at = following = 0  # ids placed so far
@@ -112,7 +126,7 @@ def order_by_retrieval(docs: list[np.ndarray], length: int, ends: int = 0) -> li
         seed = order[-1]
         end = (at // length + 1) * length
         while at < end and len(order) < len(docs):
-            best = index.neighbours(seed, unused)
+            best = index.neighbours(seed, unused, max(NEIGHBOURS, int((end - at) / usual)))
             for i in best:
                 place(int(i))
                 if at >= end:
@@ -135,10 +149,11 @@ def pack(rows: DataFrame, tokenizer: str, end_id: int, spaces: str = "kept", len
     ``ids`` of the piece (binary, little-endian), ``doc_tokens``, ``sequence_id`` and
     ``offset``. Sequences have ``length`` ids, but for the last of each shard.
 
-    Documents are encoded once and written. They are then dealt in ranges of a lexical key (the
-    smallest hash of a pair of ids), so that similar ones meet; the id and a text hash follow in
-    the key, so that copies can be dealt apart. A task takes its documents in shards of
-    ``shard_tokens`` ids, each with an index of its own, and holds one shard at a time.
+    Documents are encoded once and written. They are then dealt by a lexical key (the smallest hash
+    of a pair of ids), so that similar ones meet, into shards of ``shard_tokens`` to twice as many
+    ids: buckets of keys, taken together while they fill a shard; the documents of a bucket that
+    fills several, as of many copies, are dealt by their id and text. So the shards depend on the
+    documents alone. A task holds one shard at a time, with an index of its own.
 
     A null or empty text is its end id. Null ids, equal ids and repeated rows are packed like
     any other row; an empty table gives an empty one; other columns are left out.
@@ -153,36 +168,42 @@ def pack(rows: DataFrame, tokenizer: str, end_id: int, spaces: str = "kept", len
         for batch in batches:
             for first, column in slices(batch.column(1)):
                 flat, counts = encoder.ids(column)
-                packed, keys = [], []
-                for end, n in zip(np.cumsum(counts), counts, strict=True):
-                    ids = np.append(flat[end - n:end], np.uint32(end_id)).astype(np.uint32)
-                    packed.append(shuffle_planes(ids, 8))
-                    with np.errstate(over="ignore"):
-                        pair = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]
-                        pair = (pair ^ (pair >> np.uint64(29))) * factor
-                    keys.append(int((pair >> np.uint64(33)).min()) if len(pair) else 0)
+                ends = np.cumsum(counts)
+                ids = np.insert(flat, ends, end_id)
+                counts, ends = counts + 1, ends + np.arange(1, len(ends) + 1)
+                with np.errstate(over="ignore"):
+                    pair = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]
+                    pair = ((pair ^ (pair >> np.uint64(29))) * factor) >> np.uint64(33)
+                # Pairs within a document; the last one of each reaches into the next.
+                pair = np.append(pair, np.uint64(0))
+                pair[ends - 1] = np.uint64(1 << 31)
+                keys = np.minimum.reduceat(pair, ends - counts).astype(np.int64)
+                stored = ids.astype("<u2" if ids.max() < 1 << 16 else "<u4")
+                width = stored.itemsize
+                values = pa.Array.from_buffers(
+                    pa.large_binary(), len(ends),
+                    [None, pa.py_buffer(np.append(0, ends * width).astype(np.int64).tobytes()),
+                     pa.py_buffer(stored.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(column)), pa.array(keys, pa.int64()),
+                    [batch.column(0).slice(first, len(column)), pa.array(keys),
                      batch.column(2).slice(first, len(column)),
-                     pa.array(counts + 1, pa.int64()), pa.array(packed, pa.binary())],
+                     pa.array(counts), values.cast(pa.binary())],
                     names=["id", "key", "tie", "n", "packed"])
 
     texts(rows, id_col, text_col).withColumn("tie", F.xxhash64("text")).mapInArrow(
         encode, schema(kind, "key long, tie long, n long, packed binary")) \
-        .write.option("compression", "none").parquet(path)
-    encoded = spark.read.parquet(path)
+        .write.option("compression", "zstd").parquet(path)
+    encoded = spark.read.schema(schema(kind, "key long, tie long, n long, packed binary")).parquet(path)
     total = encoded.agg(F.sum("n")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_TOKENS + 1)
     out = schema(kind, "start long, length long, ids binary, doc_tokens long, sequence_id long, "
                  "offset long", id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequence = TaskContext.get().partitionId() << 40
         held: list[tuple] = []
-        size = 0
+        shard = None
 
         def packed_shard() -> pa.RecordBatch:
-            nonlocal sequence
+            sequence = shard << 26
             docs = [ids for _, ids in held]
             columns: list[list] = [[] for _ in out.names]
             at = 0
@@ -196,7 +217,6 @@ def pack(rows: DataFrame, tokenizer: str, end_id: int, spaces: str = "kept", len
                         c.append(v)
                     at += n
                     done += n
-            sequence += -(-at // length)
             n = pa.int64()
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(
@@ -205,18 +225,44 @@ def pack(rows: DataFrame, tokenizer: str, end_id: int, spaces: str = "kept", len
         id_arrow = pa.int64()
         for batch in batches:
             id_arrow = batch.column(0).type
-            for r in range(batch.num_rows):
-                ids = restore_planes(batch.column(1)[r].as_py())
-                held.append((batch.column(0)[r].as_py(), ids))
-                size += len(ids)
-                if size >= shard_tokens:
+            for doc, own, n, packed in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if own != shard and held:
                     yield packed_shard()
-                    held, size = [], 0
+                    held = []
+                shard = own
+                held.append((doc, np.frombuffer(packed, "<u2" if len(packed) == 2 * n else "<u4")))
         if held:
             yield packed_shard()
 
-    return encoded.repartitionByRange(parts, "key", "id", "tie").sortWithinPartitions("key", "id", "tie") \
-        .select("id", "packed").mapInArrow(run, out)
+    dealt = _sharded(encoded, total, shard_tokens)
+    return dealt.repartition(total // shard_tokens + 1, "shard") \
+        .sortWithinPartitions("shard", "place", "id", "tie") \
+        .select("id", "shard", "n", "packed").mapInArrow(run, out)
+
+
+def _sharded(encoded: DataFrame, total: int, shard_tokens: int) -> DataFrame:
+    """Encoded documents with ``shard``, and ``place``, their order in it but for equal keys.
+
+    A bucket is in the shard in which its first id falls if the buckets of its run are laid end to
+    end. A bucket longer than a shard fills that and the following ones.
+    """
+    bits = min(30, max(0, math.ceil(math.log2(max(1, BUCKETS_PER_SHARD * total / shard_tokens)))))
+    # Small keys are the most frequent: hashed, they are even.
+    place = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
+    placed = encoded.withColumn("place", place).withColumn("bucket", F.shiftright("place", 30 - bits))
+    by_run = Window.partitionBy("run").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("bucket").agg(F.sum("n").alias("held")).withColumn(
+        "run", F.shiftright("bucket", RUN_BITS))
+    first = F.coalesce(F.sum("held").over(by_run), F.lit(0))
+    buckets = sizes.select(
+        "bucket", F.expr(f"held div {shard_tokens} + 1").alias("times"),
+        (F.shiftleft("run", 23) + F.floor(first / shard_tokens)).cast("long").alias("first"))
+    if 1 << bits <= MAX_BROADCAST:
+        joined = placed.join(F.broadcast(buckets), "bucket")
+    else:
+        joined = join_unique(placed, buckets, ["bucket"], "inner")
+    own = F.pmod(F.xxhash64("id", "tie"), F.col("times"))
+    return joined.withColumn("shard", F.col("first") + own)
 
 
 def digest(pieces: DataFrame) -> DataFrame:

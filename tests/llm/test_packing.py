@@ -78,3 +78,40 @@ def test_every_term_of_a_seed_is_scored():
 def test_end_ids_are_not_shared_terms():
     docs = [np.array(x, np.uint32) for x in ([2, 3, 1], [9, 8, 7, 6, 1], [5, 1])]
     assert packing.order_by_retrieval(docs, 100, ends=1) == [0, 1, 2]
+
+
+def test_shards_depend_on_the_documents_alone(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(i, f"topic {i % 7} words {i} of {i * 31 % 97} " * (1 + i % 30)) for i in range(400)]
+    rows += [(1000 + i, "a copy of one text in many rows") for i in range(300)] + [(2000 + i, None) for i in range(50)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for partitions in ("3", "20"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            pieces = packing.pack(table.repartition(int(partitions)), path, end_id=1, length=128, shard_tokens=3000).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        found.append(sorted(pieces))
+    assert found[0] == found[1]
+    sequences = defaultdict(int)
+    for p in found[0]:
+        sequences[p.sequence_id] += p.length
+    ids = sum(sequences.values())
+    assert len({s >> 26 for s in sequences}) > 5
+    assert len(sequences) * 128 < 1.1 * ids
+    assert sum(1 for n in sequences.values() if n < 128) <= len({s >> 26 for s in sequences})
+    one = packing.pack(table, path, end_id=1, length=128).collect()
+    assert len({p.sequence_id for p in one}) == -(-ids // 128)
+
+
+def test_many_documents_without_a_neighbour_take_no_time():
+    import time
+
+    empty = [np.array([1], np.uint32)] * 200_000
+    lone = [np.array([10 + i, 1], np.uint32) for i in range(50_000)]
+    started = time.time()
+    order = packing.order_by_retrieval(empty + lone, 2048, ends=1)
+    assert sorted(order) == list(range(250_000)) and time.time() - started < 30
+
