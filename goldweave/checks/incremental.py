@@ -14,6 +14,7 @@ from goldweave.operators import (
     catch_up,
     collapse_many,
     due_windows,
+    late_messages,
     latest_in_window,
     window_maxima,
 )
@@ -66,6 +67,19 @@ def maxima(spark, d):
     return window_maxima(messages(spark, d), windows(spark, d), **NAMES).withColumnRenamed("window", "window_no")
 
 
+@query(
+    "late_messages",
+    f"SELECT e.event_id, e.user_id, w.win AS window_no, w.e AS window_end FROM ({DUE}) w JOIN events e "
+    "ON e.ts BETWEEN w.s AND w.e WHERE e.ts + INTERVAL 1 HOUR * CAST(floor(e.value) AS BIGINT) > "
+    "w.e + INTERVAL 12 HOUR",
+)
+def late(spark, d):
+    """Events that arrive as many hours late as their value says."""
+    arrived = F.timestamp_micros(F.unix_micros("ts") + F.floor("value").cast("long") * 3_600_000_000)
+    return late_messages(table(spark, d, "events"), windows(spark, d), arrived, at="ts").select(
+        "event_id", "user_id", F.col("window").alias("window_no"), "window_end")
+
+
 _APPLIED = (
     f"SELECT w.win, x.user_id, x.event_type, x.value FROM ({_MAXIMA}) w JOIN ({_MESSAGES}) x "
     "ON x.user_id = w.user_id AND x.seq = w.seq"

@@ -15,6 +15,7 @@ from goldweave import schema as S
 from goldweave import session
 from goldweave.checks.incremental import DUE, windows
 from goldweave.checks.registry import SqlSource, merge_sql, query, schema_of, table
+from goldweave.operators.normalize import normalize_feed
 from goldweave.operators.quarantine import as_rejects, not_null
 from goldweave.plans.item_load import FEED as FEED_STEP
 from goldweave.plans.item_load import MESSAGES as MESSAGE_STEP
@@ -34,6 +35,7 @@ from goldweave.plans.item_load import (
     run_item_load,
 )
 from goldweave.sources.snapshot import AlreadyCommitted, Layout, Store, append_rejects, publish
+from goldweave.sources.tables import of_source
 from goldweave.streaming.catchup import start_catch_up, start_state_catch_up
 
 USER, SOURCE = "loader", "R"
@@ -375,6 +377,16 @@ def stream_state_merge(spark, d):
     return store.read(MASTER_TABLE, S.MASTER_SCHEMA)
 
 
+@query(
+    "feed_distinct",
+    f"SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in S.MEASURES)}) FROM ({_PARSED_SQL})",
+)
+def feed_distinct(spark, d):
+    """All columns of the feed, each row once: digests first, values for repeated digests."""
+    feed = of_source(_inputs(spark, d, "B").feed, SOURCE)
+    return normalize_feed(feed, stage=session.staged)
+
+
 @query(
     "message_rejects",
     "SELECT item AS item_id, ' ' AS revision, item_description AS name, 'PART' AS item_type, "

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldweave import schema as S
 from goldweave.functions import blank_to_null, parse_offset_ts, try_parse_offset_ts
+from goldweave.operators.distinct import distinct_rows
 
 
 def normalize_feed(
@@ -19,6 +20,7 @@ def normalize_feed(
     dates: Sequence[str] = S.OFFSET_DATES,
     bad_dates: str = "abort",
     distinct: bool = True,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Trim, parse offset dates, keep ``columns`` and drop repeated rows.
 
@@ -28,7 +30,8 @@ def normalize_feed(
     Dropping repeated rows shuffles by the whole row, so no key can make a hot
     partition. ``collapse`` gives the same result with or without it: pass
     ``distinct=False`` to save that shuffle where only the merged table
-    matters and not the number of distinct rows.
+    matters and not the number of distinct rows. With ``stage`` only rows that
+    are repeated are shuffled as a whole (:func:`goldweave.operators.distinct.distinct_rows`).
     """
     if bad_dates not in ("abort", "null"):
         raise ValueError(f"bad_dates must be 'abort' or 'null', not {bad_dates!r}")
@@ -42,7 +45,9 @@ def normalize_feed(
         return F.col(c)
 
     rows = feed.select(*[project(c) for c in columns])
-    return rows.distinct() if distinct else rows
+    if not distinct:
+        return rows
+    return rows.distinct() if stage is None else distinct_rows(rows, stage)
 
 
 def project_messages(

@@ -40,7 +40,7 @@ from goldweave.sources.tables import deleted_rows, flag_rows, of_source, read_ch
 
 MESSAGES, FEED, FLAGS, DELETES = "messages", "feed", "flags", "deleted"
 DUPLICATES = "duplicates"
-MASTER_TABLE, CONTROL_TABLE = "mst_item", "aif_last_sync_up"
+MASTER_TABLE, CONTROL_TABLE, LATE_TABLE = "mst_item", "aif_last_sync_up", "late_messages"
 # Name of the property that lets a load soft-delete.
 DELETE_PROPERTY = "can_update_ent_state"
 MODES = ("A", "B", "C")
@@ -67,7 +67,7 @@ class LoadInputs:
     bad_dates: str = "abort"
     distinct: bool = True
     small: bool = False
-    # Write what an insert-only load finds new once, instead of deriving it for each outcome.
+    # Write small tables on the way: what an insert-only load finds new, digests of repeated rows.
     stage: bool = False
 
 
@@ -129,6 +129,22 @@ def caught_up(messages: DataFrame, windows: Windows) -> DataFrame:
     return project_messages(won, extra=["first_window", "last_window", "times"], distinct=False)
 
 
+def arrived_late(log: DataFrame, control: DataFrame) -> DataFrame | None:
+    """Messages of windows that have run which reached the log after the last completed sync.
+
+    No later run looks at their windows again. ``log`` has the time of arrival as ``arrived``,
+    ``control`` is the control row before it is advanced: its start is the end of the last window
+    that ran. None if no sync has completed, since then nothing has run.
+    """
+    row = control.select("operation_status", "start_time", "sync_up_date").first()
+    if row is None or row["operation_status"] != "SUCCESS" or row["start_time"] is None:
+        return None
+    before, since = (control.select(F.unix_micros(c)).first()[0] for c in ("start_time", "sync_up_date"))
+    return log.where(
+        (F.col("sys_creation_date") <= F.timestamp_micros(F.lit(before)))
+        & (F.col("arrived") > F.timestamp_micros(F.lit(since))))
+
+
 def _message_source(rows: DataFrame, i: LoadInputs) -> MergeSource:
     rows = rows.withColumns({"revision": F.lit(S.NO_REVISION), "name": F.col("description")})
     return MergeSource(
@@ -163,6 +179,7 @@ def plan_load(i: LoadInputs) -> LoadPlan:
         accepted,
         bad_dates="null" if i.bad_dates == "reject" else "abort",
         distinct=i.distinct or i.mode == "C",
+        stage=session.staged if i.stage else None,
     )
     rejects = {FEED: broken}
     flag_rows_, bad_flags = split_rejects(mine.select("item_id", "is_emc", "sys_ent_state"), i.flag_rules)
@@ -288,7 +305,8 @@ def run_item_load(
 
     A run id that has been committed is refused before anything is written. The
     merge is audited as done once it is committed, and a failure before always leaves an
-    audit row. An audit row that cannot be written after the commit does not undo it:
+    audit row. Messages that came too late for their windows are not merged; they go to the
+    table of late messages of the store. An audit row that cannot be written after the commit does not undo it:
     the load is a success, with a warning.
     """
     if not source:
@@ -335,7 +353,7 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
         at = "audit"
         step = audit.start("MERGE", f"Merge the item feed into the item master for {source}", in_rows)
 
-        messages = None
+        messages = late = None
         if mode == "A":
             at = "windows"
             lookup_one(control, F.col("sync_up_id") == sync_id, ["sync_up_id"], f"control row {sync_id}")
@@ -343,6 +361,9 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
                 control.where(F.col("sync_up_id") == sync_id), F.lit(frequency), now
             )
             windows = Windows.of(planned)
+            late = arrived_late(
+                read_changes(spark, paths.changes, arrived="arrived"),
+                control.where(F.col("sync_up_id") == sync_id))
             control = advance(control, planned, sync_id)
             if windows.n:
                 at = "messages"
@@ -394,6 +415,10 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
              for name, r in plan.rejects.items()]
         )
         errors = append_rejects(rejected, store, run_id)
+        also = []
+        if late is not None:
+            at = "late messages"
+            also = [store.write(late.drop("arrived"), LATE_TABLE, run_id)]
 
         at = "counts"
         written = spark.read.schema(plan.master.schema).parquet(master.path)
@@ -401,6 +426,8 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
         counts["in_rows"] = in_rows
         counts[f"{FLAGS}_merged"] = flag_rows(plan.flags, flags=["is_emc"]).count()
         counts["rejected"] = spark.read.parquet(errors.path).count()
+        if also:
+            counts["late"] = spark.read.schema(S.MESSAGE_SCHEMA).parquet(also[0].path).count()
         if layout:
             counts["parts_written"] = len(master.rewritten)
         merged = counts[f"{FEED}_inserted"] if mode == "C" else counts[f"{FEED}_merged"]
@@ -415,7 +442,7 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
         closed = close_sync(control, highest, sync_id, now, job_instance_id)
         state = store.write(closed.coalesce(1), CONTROL_TABLE, run_id)
         at = "publish"
-        version = store.commit([master, errors, state], run_id)
+        version = store.commit([master, errors, state, *also], run_id)
     except Exception as e:
         if step is None:
             step = audit.start("MERGE", f"Merge the item feed into the item master for {source}", in_rows)

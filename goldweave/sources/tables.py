@@ -23,8 +23,10 @@ def read_feed(spark: SparkSession, path: str, source: str) -> DataFrame:
     return of_source(read_table(spark, path, S.FEED_SCHEMA), source)
 
 
-def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, S.MESSAGE_SCHEMA)
+def read_changes(spark: SparkSession, path: str, arrived: str | None = None) -> DataFrame:
+    """The message log; ``arrived`` names a column for the time at which a message's file was written."""
+    log = read_table(spark, path, S.MESSAGE_SCHEMA)
+    return log if arrived is None else log.withColumn(arrived, F.col("_metadata.file_modification_time"))
 
 
 def deleted_rows(feed: DataFrame, state: str = "sys_ent_state") -> DataFrame:
