@@ -184,11 +184,11 @@ bits AS (SELECT page_id, n, f, d, list_reduce(list_transform(range(32), lambda k
   lambda x, y: x || y), 5 * k + 1, 5)) AS INTEGER), 1)), lambda x, y: x || y) AS b32 FROM r)
 SELECT page_id, n AS payload_bytes, b32 AS payload_digest,
   CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to FROM bits""")
+  CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to, CAST(NULL AS VARCHAR) AS problem FROM bits""")
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_warc(read(spark, folder, "pages"), path)
-    return warc.read_warc(spark, path).drop("problem")
+    return warc.read_warc(spark, path)
 
 
 def _spot_sql() -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldweave.llm.tables import pick
+from goldweave.operators.joins import join_unique
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -34,6 +36,10 @@ _RESULT = ("page_id long, payload_bytes long, payload_digest string, record_type
            "refers_to long, problem string")
 
 
+_CHUNK_SIZE = re.compile(rb"[0-9A-Fa-f]+")
+_PAGE = re.compile(r"<urn:page:(-?[0-9]+);[^>]*>")
+
+
 def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -54,7 +60,10 @@ def unchunked(body: bytes) -> bytes:
         end = body.find(b"\r\n", at)
         if end < 0:
             raise ValueError("a chunk has no size line")
-        size = int(body[at:end].split(b";")[0].strip(), 16)
+        told = body[at:end].split(b";")[0].strip(b" \t")
+        if not _CHUNK_SIZE.fullmatch(told):
+            raise ValueError("a chunk's size is no hexadecimal number")
+        size = int(told, 16)
         at = end + 2
         if size == 0:
             return b"".join(out)
@@ -70,21 +79,26 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
 
-def page_records(page: int | None, url: str | None, payload: bytes, refers_to: int | None,
-                 revisit: bool, row: str, segment_bytes: int) -> Iterator[bytes]:
-    """A page as one record, or as a first record and its continuations."""
-    name = "none" if page is None else page
-    own = f"<urn:page:{name};row={row}>"
+def _name(page: int | None, row: int | str) -> str:
+    return f"<urn:page:{'none' if page is None else page};row={row}>"
+
+
+def page_records(page: int | None, url: str | None, payload: bytes, refers_to: str | None,
+                 row: int | str, segment_bytes: int) -> Iterator[bytes]:
+    """A page as one record, or as a first record and its continuations.
+
+    ``refers_to`` is the id of the record that a revisit refers to.
+    """
+    own = _name(page, row)
     # A header value is one line.
     target = None if url is None else "".join(c for c in url if c.isprintable())
     common = [("WARC-Record-ID", own), ("WARC-Date", DATE), ("WARC-Target-URI", target),
               ("WARC-Payload-Digest", f"sha1:{digest_of(payload)}"),
               ("Content-Type", "application/http; msgtype=response")]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-    if revisit:
+    if refers_to is not None:
         yield record(
-            [("WARC-Type", "revisit"), *common, ("WARC-Profile", PROFILE),
-             ("WARC-Refers-To", f"<urn:page:{'none' if refers_to is None else refers_to}>")],
+            [("WARC-Type", "revisit"), *common, ("WARC-Profile", PROFILE), ("WARC-Refers-To", refers_to)],
             http + b"Content-Length: %d\r\n\r\n" % len(payload))
         return
     block = http + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -96,7 +110,7 @@ def page_records(page: int | None, url: str | None, payload: bytes, refers_to: i
     for k, at in enumerate(range(segment_bytes, len(block), segment_bytes), start=2):
         last = at + segment_bytes >= len(block)
         yield record(
-            [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{name};row={row};part={k}>"),
+            [("WARC-Type", "continuation"), ("WARC-Record-ID", f"{own[:-1]};part={k}>"),
              ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", own), ("WARC-Segment-Number", k),
              ("WARC-Segment-Total-Length", len(block) if last else None)],
             block[at:at + segment_bytes])
@@ -108,23 +122,26 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0,
 
     Of the rows with equal payloads of at least ``min_bytes`` bytes, those with the smallest
     page_id are responses (a page that is repeated as a whole is written as often), the others
-    are revisits of it. A null page_id is the largest. Rows are looked up by payload digest in
-    a join whose hot keys Spark splits. An empty table writes a table without rows.
+    are revisits, and refer to the record of the first such row. A null page_id is the largest.
+    Rows are looked up by payload digest in a join whose hot keys Spark splits. An empty table
+    writes a table without rows.
     """
     rows = pick(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("sum", F.sha1("payload"))
-    firsts = rows.groupBy("sum").agg(F.min("page_id").alias("first"))
-    both = rows.join(firsts, "sum").select(
-        "page_id", "url", "payload", "first",
-        (~F.col("page_id").eqNullSafe(F.col("first"))
+    # Given by the file and the place in it, so a task that runs again numbers its rows alike.
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("sum", F.sha1("payload"))
+    firsts = rows.groupBy("sum").agg(F.min(F.struct(
+        F.col("page_id").isNull().alias("none"), F.col("page_id").alias("page"), F.col("row").alias("row"))).alias("first"))
+    both = join_unique(rows, firsts, ["sum"], "inner").select(
+        "page_id", "url", "payload", "row", "first.page", F.col("first.row").alias("of"),
+        (~F.col("page_id").eqNullSafe(F.col("first.page"))
          & (F.octet_length("payload") >= min_bytes)).alias("revisit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         held: list[bytes] = []
-        size = block = row = 0
+        size = block = 0
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -132,11 +149,11 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0,
                  pa.array([b"".join(held)], pa.binary())], names=["archive", "block", "content"])
 
         for batch in batches:
-            for page, url, payload, first, revisit in zip(
-                    *(batch.column(k) for k in range(5)), strict=True):
-                row += 1
-                for one in page_records(page.as_py(), url.as_py(), payload.as_py(), first.as_py(),
-                                        revisit.as_py(), f"{task}-{row}", segment_bytes):
+            for page, url, payload, row, first, of, revisit in zip(
+                    *(batch.column(k) for k in range(7)), strict=True):
+                refers_to = _name(first.as_py(), of.as_py()) if revisit.as_py() else None
+                for one in page_records(page.as_py(), url.as_py(), payload.as_py(), refers_to,
+                                        row.as_py(), segment_bytes):
                     held.append(gzip.compress(one, 6, mtime=0))
                     size += len(held[-1])
                     if size >= BLOCK_BYTES:
@@ -168,10 +185,9 @@ def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _page_of(name: str | None) -> int | None:
-    if not name:
-        return None
-    page = name.strip("<>").split(";")[0].rpartition(":")[2]
-    return None if page == "none" else int(page)
+    """The page of a record that was written here; none for ids of others."""
+    match = _PAGE.fullmatch(name or "")
+    return int(match[1]) if match else None
 
 
 def _number(value: str | None) -> int | None:
@@ -206,7 +222,7 @@ def read_records(spark: SparkSession, path: str, segmented: bool) -> DataFrame:
 
 
 def reassembled(segments: DataFrame) -> DataFrame:
-    """One row per origin: its segments in order of their numbers, with what is wrong with them.
+    """One row per origin: its segments as ``blocks`` in order of their numbers, and what is wrong.
 
     The segments of one origin are one payload, which is as large as a row may be.
     """
@@ -214,18 +230,16 @@ def reassembled(segments: DataFrame) -> DataFrame:
     first = F.max(F.when(F.col("segment") == 1, F.struct("record_type", "page_id", "refers_to", "digest")))
     grouped = segments.groupBy("origin").agg(
         ordered.alias("parts"), F.max("total").alias("total"), first.alias("head"))
-    n = F.size("parts")
-    block = F.aggregate("parts", F.lit(b""), lambda acc, p: F.concat(acc, p["block"]))
+    numbers = F.transform("parts", lambda p: p["segment"])
+    length = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p["block"]))
     return grouped.select(
-        "head", "total", block.alias("block"),
-        F.transform("parts", lambda p: p["segment"]).alias("numbers"), n.alias("n"),
-    ).select(
         F.col("head.record_type").alias("record_type"), F.col("head.page_id").alias("page_id"),
-        F.col("head.refers_to").alias("refers_to"), F.col("head.digest").alias("digest"), "block",
-        F.when(F.col("numbers") != F.sequence(F.lit(1).cast("long"), F.col("n").cast("long")),
+        F.col("head.refers_to").alias("refers_to"), F.col("head.digest").alias("digest"),
+        F.transform("parts", lambda p: p["block"]).alias("blocks"),
+        F.when(numbers != F.sequence(F.lit(1).cast("long"), F.size("parts").cast("long")),
                F.lit("segments missing or repeated"))
         .when(F.col("total").isNull(), F.lit("no total length"))
-        .when(F.col("total") != F.octet_length("block"), F.lit("wrong total length"))
+        .when(F.col("total") != length, F.lit("wrong total length"))
         .alias("problem"))
 
 
@@ -251,19 +265,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per page: its payload's size and digest, the kind of record and what it refers to.
 
     ``problem`` tells of missing segments, wrong total lengths, broken framing or a digest
-    that differs, and is null for a sound record.
+    that differs, and is null for a sound record. Records with ids of others have no page_id.
     """
-    columns = ["record_type", "page_id", "refers_to", "digest", "block", "problem"]
-    whole = read_records(spark, path, segmented=False) \
-        .withColumn("problem", F.lit(None).cast("string")).select(*columns)
+    columns = ["record_type", "page_id", "refers_to", "digest", "blocks", "problem"]
+    whole = read_records(spark, path, segmented=False).withColumns(
+        {"blocks": F.array("block"), "problem": F.lit(None).cast("string")}).select(*columns)
     joined = reassembled(read_records(spark, path, segmented=True)).select(*columns)
 
     def run(batches):
         for batch in batches:
             rows: list[list] = [[] for _ in range(3)]
-            for kind, digest, block, problem in zip(
+            for kind, digest, blocks, problem in zip(
                     *(batch.column(k).to_pylist() for k in (0, 3, 4, 5)), strict=True):
-                values = (None, None, problem) if problem else decode_block(block, kind, digest)
+                values = (None, None, problem) if problem else decode_block(b"".join(blocks), kind, digest)
                 for c, v in zip(rows, values, strict=True):
                     c.append(v)
             size, digest, problem = (pa.array(c, t) for c, t in zip(
