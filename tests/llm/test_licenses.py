@@ -39,3 +39,66 @@ def test_places_of_templates(spark):
     assert text[at.start:at.end].startswith("PERMISSION") and text[at.start:at.end].endswith("SOFTWARE")
     assert 0.9 < found[5].best_coverage < 1
     assert licenses.scan_licenses(table.limit(0)).count() == 0
+
+
+def places(text, name="MIT-notice", coverage=0.8):
+    words = licenses._WORD.findall(text.lower())
+    return licenses.occurrences(words, licenses._WORD.findall(licenses.TEMPLATES[name].lower()), coverage)
+
+
+def test_stray_and_repeated_words_lose_no_place():
+    found = places("the released under the MIT license released under the MIT license under")
+    assert found == [(1, 5, 5), (6, 10, 5)]
+    mit = licenses.TEMPLATES["MIT"].split()
+    foreign = [f"foreign{i}" for i in range(9)]
+    text = " ".join(mit[:80] + foreign + mit[80:])
+    assert places(text, "MIT")[0][2] == len(licenses._WORD.findall(licenses.TEMPLATES["MIT"]))
+    twice = " ".join(["the of"] * 50 + mit[:40] + ["x"] + mit[41:] + mit + ["and the"] * 50)
+    assert [n for _, _, n in places(twice, "MIT")] == [len(licenses._WORD.findall(" ".join(mit))) - 1,
+                                                       len(licenses._WORD.findall(" ".join(mit)))]
+
+
+def every_place(words, template, need):
+    """The words that begin a stretch of the allowed length with enough aligned words."""
+    best = set()
+    for i in range(len(words)):
+        for m in range(need, licenses.ROOM * len(template) + 1):
+            pairs = licenses.align(template, words[i:i + m])
+            if len(pairs) >= need and pairs[0][1] == 0:
+                best.add(i)
+    return best
+
+
+def test_places_against_every_stretch():
+    draw = random.Random(7)
+    template = "a b c d e f g the h i".split()
+    for _ in range(150):
+        words = []
+        for _ in range(draw.randrange(4)):
+            words += [draw.choice(["the", "x", "y", "a", "i"]) for _ in range(draw.randrange(12))]
+            copy = list(template)
+            for _ in range(draw.randrange(4)):
+                k = draw.randrange(len(copy))
+                draw.choice([lambda: copy.insert(k, "z"), lambda: copy.pop(k), lambda: copy.__setitem__(k, "q")])()
+            words += copy
+        need = 8
+        found = licenses.occurrences(words, template, 0.8)
+        every = every_place(words, template, need)
+        assert bool(found) == bool(every)
+        assert all(i in every and n >= need and e - i < 2 * len(template) for i, e, n in found)
+        assert all(p[1] < q[0] for p, q in itertools.pairwise(found))
+        # Whatever does not reach into a place that was found would have been one.
+        inside = {i for s, e, _ in found for i in range(s - licenses.ROOM * len(template) + 1, e + 1)}
+        assert every <= inside
+
+
+def test_licences_of_one_family_are_told_apart(spark):
+    named = ["BSD-2-Clause", "BSD-3-Clause", "GPL-3.0-header", "LGPL-3.0-header", "AGPL-3.0-header", "ISC", "MIT",
+             "Apache-2.0-header"]
+    rows = [(i, f"Some words. {licenses.TEMPLATES[n]} More of them.") for i, n in enumerate(named)]
+    rows.append((99, " ".join(licenses.TEMPLATES["MIT"].split()[:50])))
+    found = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i].best for i in range(len(named))] == named
+    assert all(found[i].best_coverage == 1 for i in range(len(named)))
+    # The opening of a licence is not the licence.
+    assert found[99].best is None
