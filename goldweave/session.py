@@ -44,16 +44,23 @@ def shared_folder(spark: SparkSession) -> str:
     All are resolved by Spark's file systems, so every executor reaches them. A warehouse on one
     machine's disk will not do for a cluster: it is refused.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _set_on_context(spark)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir")
-        if not context.master.startswith("local") and _on_disk(spark, folder):
+        if _is_cluster(spark) and _on_disk(spark, folder):
             raise ValueError(
                 f"set spark.checkpoint.dir to a folder that all machines share: {folder} is one machine's")
     return folder.rstrip("/")
 
 
+def _is_cluster(spark: SparkSession) -> bool:
+    return not spark.conf.get("spark.master", "local").startswith("local")
+
+
+def _set_on_context(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getCheckpointDir() if hasattr(spark, "sparkContext") else None
+
+
 def _on_disk(spark: SparkSession, folder: str) -> bool:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)

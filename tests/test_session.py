@@ -11,35 +11,25 @@ from goldweave import session
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-class Conf(dict):
-    def get(self, key, default=None):
-        return super().get(key, default)
-
-
-class Context:
-    def __init__(self, master, folder=None):
-        self.master, self.folder = master, folder
-
-    def getCheckpointDir(self):
-        return self.folder
-
-
 class Session:
-    def __init__(self, context, **conf):
-        self.sparkContext, self.conf = context, Conf(conf)
+    """Stands for a session of which only the settings are read."""
+
+    def __init__(self, **conf):
+        self.conf = conf
 
 
 def test_the_shared_folder(monkeypatch):
     monkeypatch.setattr(session, "_on_disk", lambda spark, folder: folder.startswith("file:"))
     house = {"spark.sql.warehouse.dir": "file:/house/"}
     named = {"spark.checkpoint.dir": "file:/shared/"} | house
-    assert session.shared_folder(Session(Context("spark://x"), **named)) == "file:/shared"
-    assert session.shared_folder(Session(Context("spark://x", "hdfs:/set"), **house)) == "hdfs:/set"
-    assert session.shared_folder(Session(Context("local[2]"), **house)) == "file:/house"
-    assert session.shared_folder(
-        Session(Context("yarn"), **{"spark.sql.warehouse.dir": "hdfs:/house"})) == "hdfs:/house"
+    yarn = {"spark.master": "yarn"}
+    assert session.shared_folder(Session(**named, **yarn)) == "file:/shared"
+    assert session.shared_folder(Session(**house, **{"spark.master": "local[2]"})) == "file:/house"
+    assert session.shared_folder(Session(**yarn, **{"spark.sql.warehouse.dir": "hdfs:/house"})) == "hdfs:/house"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(Session(Context("yarn"), **house))
+        session.shared_folder(Session(**house, **yarn))
+    monkeypatch.setattr(session, "_set_on_context", lambda spark: "hdfs:/set")
+    assert session.shared_folder(Session(**house, **yarn)) == "hdfs:/set"
 
 
 def test_which_folders_are_on_disk(spark):
