@@ -25,7 +25,7 @@ _CHUNK = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 _ODD = r"[\pZ\s\x0b\x85][\pZ\s\x0b\x85]|\x00"
 _ENDED = re.compile("(?s:.*)[A-Za-z][.,;:!?]").fullmatch
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 ENCODE_BYTES = 64 << 10
 # What is kept in a worker, about: an entry costs ENTRY_BYTES besides its text and ids. A chunk
 # longer than LONG is encoded, but not kept. When full, the more used half stays.
@@ -56,6 +56,30 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa
         start = stop
 
 
+class Joined:
+    """Encodes many chunks as one text, which takes half the time, and cuts the ids again.
+
+    Chunks that fit are such that the text would be cut between them anyhow, and that their ids
+    spell them byte by byte; so the sizes of the ids' bytes tell where each chunk ends. If they
+    do not meet every end there is no result, and the chunks are encoded one by one.
+    """
+
+    def __init__(self, encode: Callable[[str], Sequence[int]], sizes: np.ndarray, spaces: str):
+        self.text_ids, self.sizes, self.glue = encode, sizes, "" if spaces == "kept" else " "
+        plain = f" [^{_SPACES}<]+" if spaces == "kept" else "[!-;=-~]+"
+        self.fits = re.compile(plain).fullmatch
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of all words in order, and the number of each."""
+        ids = np.array(self.text_ids(self.glue.join(words)), np.uint32)
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        reached = np.cumsum(self.sizes[ids])
+        stops = np.searchsorted(reached, ends)
+        if len(ids) == 0 or reached[-1] != ends[-1] or (reached[stops] != ends).any():
+            return None
+        return ids, np.diff(stops + 1, prepend=0)
+
+
 class ChunkEncoder:
     """Ids of texts.
 
@@ -67,10 +91,12 @@ class ChunkEncoder:
     """
 
     def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], spaces: str,
-                 special: Sequence[str] = (), max_bytes: int = CACHE_BYTES):
+                 special: Sequence[str] = (), max_bytes: int = CACHE_BYTES,
+                 joined: "Joined | None" = None):
         if spaces not in ("kept", "dropped", "whole"):
             raise ValueError(f"spaces must be kept, dropped or whole, not {spaces!r}")
         self.encode, self.spaces, self.special, self.max_bytes = encode, spaces, special, max_bytes
+        self.joined = joined
         self._clear()
 
     def _clear(self) -> None:
@@ -108,6 +134,13 @@ class ChunkEncoder:
         heads, marks = [w[:-1] for w in ended], [w[-1] for w in ended]
         plain = words if not ended else [w for w in words if not _ENDED(w)]
         new = [w for w in dict.fromkeys([*plain, *heads, *marks]) if w not in self.slot]
+        if self.joined is not None:
+            fit = [w for w in new if self.joined.fits(w)]
+            for group in by_bytes(fit, ENCODE_BYTES):
+                found = self.joined.encode(group)
+                if found is not None:
+                    self._put(group, *found)
+            new = [w for w in new if w not in self.slot]
         for group in by_bytes(new, ENCODE_BYTES):
             found = self.encode(group)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -257,4 +290,17 @@ def library_encoder(path: str, spaces: str | None = None) -> ChunkEncoder:
     def encode(group: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
 
-    return ChunkEncoder(encode, spaces or known, special)
+    return ChunkEncoder(encode, spaces or known, special, joined=_joined(tokenizer, spaces or known))
+
+
+def _joined(tokenizer, spaces: str) -> Joined | None:
+    """For byte-level vocabularies, whose tokens have a character for each byte."""
+    model = json.loads(tokenizer.to_str())["model"]
+    if spaces == "whole" or model["type"] != "BPE" or model["unk_token"] or model["byte_fallback"]:
+        return None
+    end = model["end_of_word_suffix"] or ""
+    sizes = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+    for token, number in tokenizer.get_vocab(with_added_tokens=True).items():
+        sizes[number] = len(token) - (len(end) if end and token.endswith(end) else 0)
+    return Joined(
+        lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, sizes, spaces)

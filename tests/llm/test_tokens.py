@@ -125,6 +125,22 @@ def encoding(path):
                              mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={})
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_many_chunks_at_once(name):
+    tokenizer = library(name)
+    joined = cutting(public_tokenizers.path(name)).joined
+    words = [w for t in TEXTS if t for w in t.split(" ")] + ["don't", "x1y2", "a.b,c", "_", "'s", "''", "1234", "Ünï"]
+    words = [w for w in (f" {w}" if name.startswith("byte") else w for w in words) if joined.fits(w)]
+    assert len(words) > 100
+    ids, n = joined.encode(words)
+    ends = np.cumsum(n)
+    for w, e, k in zip(words, ends, n, strict=True):
+        assert ids[e - k:e].tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
+    # Ids that do not end where a chunk does are no result.
+    broken = chunks.Joined(lambda t: [0], joined.sizes, "kept")
+    assert broken.encode([" a", " b"]) is None
+
+
 def test_white_space_is_read_from_the_file():
     found = {n: json.loads(library(n).to_str()) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")}
     assert [chunks.white_space(f) for f in found.values()] == ["kept", "dropped"]
