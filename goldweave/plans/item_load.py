@@ -375,7 +375,6 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
         options["feed_rules"] = [
             *KEY_RULES, *[r for r in options["feed_rules"] if not any(r is k for k in KEY_RULES)]]
         sides = [feed.size, *([] if messages is None else [messages])]
-        small = fits_in_memory(*sides)
         layout = Layout(("item_id",), parts) if parts else None
         touched = None
         if layout and store.layout(MASTER_TABLE) == layout:
@@ -394,16 +393,13 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
                 mode=mode,
                 messages=messages,
                 delete=delete,
-                small=small,
+                small=fits_in_memory(*sides),
                 stage=True,
                 **options,
             )
         )
         if layout:
-            # Where nothing was shuffled, the rows of a part are in the tasks that read it.
-            master = store.write_parts(
-                plan.master, MASTER_TABLE, run_id, layout, touched,
-                gather=touched is None or not small)
+            master = store.write_parts(plan.master, MASTER_TABLE, run_id, layout, touched)
         else:
             master = store.write(
                 plan.master, MASTER_TABLE, run_id,

@@ -219,8 +219,6 @@ class Store:
         run_id: str,
         layout: Layout,
         touched: Collection[int] | None = None,
-        *,
-        gather: bool = True,
     ) -> Written:
         """Write the next state of some parts of a table, not visible yet; the others stay as they are.
 
@@ -228,9 +226,9 @@ class Store:
         is an error, as its part would lose what it has. Without ``touched`` all parts are
         written, whatever the table was before.
 
-        ``gather`` brings the rows of a part together (Spark splits a part that is too large for
-        one task, and puts small ones together). Rows that are where they were read from, as
-        after a merge of a small source, need no shuffle: each file is of one part.
+        The rows of a part are brought together for that, as a task that held some of every part
+        would write a file for each. Spark splits a part that is too large for one task, and puts
+        small ones together.
         """
         if self.is_committed(run_id):
             raise AlreadyCommitted(f"run {run_id} has been committed before")
@@ -241,9 +239,7 @@ class Store:
             kept = self._current(table)["part_paths"]
             before = {n: p for n, p in kept.items() if n not in touched}
         path = f"{self.root}/{table}/{ATTEMPT}={uuid.uuid4().hex}"
-        dealt = rows.withColumn(PART, layout.number())
-        if gather:
-            dealt = dealt.hint("rebalance", PART)
+        dealt = rows.withColumn(PART, layout.number()).hint("rebalance", PART)
         dealt.write.partitionBy(PART).parquet(path)
         found = self.spark.read.schema(f"{PART} int").parquet(path).select(PART).distinct().collect()
         new = {r[0]: f"{path}/{PART}={r[0]}" for r in found}
@@ -299,18 +295,16 @@ def publish_touched(
     layout: Layout,
     keys: DataFrame,
     change: Callable[[DataFrame], DataFrame],
-    *,
-    gather: bool = True,
 ) -> Touched:
     """Change the parts of a table that hold ``keys``, and leave all others as they are.
 
     ``keys`` has the layout's columns of every row that may change or be added; ``change`` maps
     the rows of their parts to the new ones. A table that is not in this layout yet is read and
-    written as a whole. ``gather`` is as in :meth:`Store.write_parts`.
+    written as a whole.
     """
     touched = layout.of(keys) if store.layout(table) == layout else None
     old = store.read(table, schema) if touched is None else store.read_parts(table, schema, touched)
-    written = store.write_parts(change(old), table, run_id, layout, touched, gather=gather or touched is None)
+    written = store.write_parts(change(old), table, run_id, layout, touched)
     version = store.commit([written], run_id)
     return Touched(store.read(table, schema), version, written.rewritten, layout.parts)
 

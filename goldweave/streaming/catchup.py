@@ -139,13 +139,12 @@ def _merge_won(
         last_by=["last_window"],
         weight="times",
     )
-    small = fits_in_memory(source.rows)
     touched = layout.of(source.rows) if layout and store.layout("mst_item") == layout else None
     master = (store.read("mst_item", S.MASTER_SCHEMA) if touched is None
               else store.read_parts("mst_item", S.MASTER_SCHEMA, touched))
-    merged = merge(master, [source], S.KEYS, null_keys="absent", small_sources=small)
+    merged = merge(master, [source], S.KEYS, null_keys="absent", small_sources=fits_in_memory(source.rows))
     written = (store.write(merged, "mst_item", run_id) if layout is None else store.write_parts(
-        merged, "mst_item", run_id, layout, touched, gather=touched is None or not small))
+        merged, "mst_item", run_id, layout, touched))
     store.commit([written, *also], run_id, stream=name, window_end=newest)
 
 

@@ -237,3 +237,10 @@ def test_how_a_load_ended(spark, monkeypatch):
     assert (code, location, published) == (1, "merge", False) and "eol_date" in message
     assert ended(run_id="b", bad_dates="reject") == (0, "SUCCESS", "done", True, 0)
     assert ended(run_id="b")[2] == "call" and ended(mode="X")[2] == "call"
+
+
+def test_a_part_is_written_by_few_tasks(spark, store):
+    many = rows(spark, [(f"k{i}", i) for i in range(2000)]).repartition(16)
+    written = store.write_parts(many, "t", "r1", LAYOUT)
+    files = spark.read.schema(SCHEMA).parquet(written.path).select(F.input_file_name()).distinct().count()
+    assert files <= 32
