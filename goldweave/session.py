@@ -7,12 +7,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a load sets on its session while it runs.
+# Settings a load sets on its session while it runs. What is broadcast without a hint is chosen by
+# the bytes that were shuffled, never by those of files: a table of many nearly empty columns is so
+# small on disk that Spark would take the keys of all its rows for a few megabytes.
 LOAD_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
