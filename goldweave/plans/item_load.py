@@ -66,7 +66,10 @@ class LoadInputs:
     flag_rules: Sequence[Rule] = ()
     bad_dates: str = "abort"
     distinct: bool = True
+    # Broadcast the sources instead of shuffling the master, if they fit. ``measured`` says that
+    # they are known to; else they are measured first.
     small: bool = False
+    measured: bool = False
     # Write small tables on the way: what an insert-only load finds new, digests of repeated rows.
     stage: bool = False
 
@@ -217,9 +220,11 @@ def plan_load(i: LoadInputs) -> LoadPlan:
         constants={"sys_ent_state": F.lit(S.DELETED), S.MODIFIED: i.run_ts},
     )
     names = [s.name for s in sources] + [FLAGS] + ([DELETES] if i.delete else [])
-    options = {"null_keys": "absent", "tally": True, "small_sources": i.small}
     last = [removed] if i.delete else []
-    if i.small:
+    small = i.small and (i.measured or fits_in_memory(
+        mine, *[s.rows for s in last], *[s.rows for s in sources if s.name == MESSAGES]))
+    options = {"null_keys": "absent", "tally": True, "small_sources": small}
+    if small:
         master = merge(i.master, sources + last, S.KEYS, **options)
         master = merge(master, [flags], ["item_id"], **options)
     else:
@@ -394,6 +399,7 @@ def _run(spark, paths, source, sync_id, run_ts, run_user, mode, job_instance_id,
                 messages=messages,
                 delete=delete,
                 small=fits_in_memory(*sides),
+                measured=True,
                 stage=True,
                 **options,
             )
