@@ -10,6 +10,7 @@ import itertools
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
@@ -25,11 +26,11 @@ _CHUNK = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 _ODD = r"[\pZ\s\x0b\x85][\pZ\s\x0b\x85]|\x00"
 _ENDED = re.compile("(?s:.*)[A-Za-z][.,;:!?]").fullmatch
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 ENCODE_BYTES = 64 << 10
 # What is kept in a worker, about: an entry costs ENTRY_BYTES besides its text and ids. A chunk
 # longer than LONG is encoded, but not kept. When full, the more used half stays.
-CACHE_BYTES = 256 << 20
+CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 190
 LONG = 256
 
@@ -66,8 +67,15 @@ class Joined:
 
     def __init__(self, encode: Callable[[str], Sequence[int]], sizes: np.ndarray, spaces: str):
         self.text_ids, self.sizes, self.glue = encode, sizes, "" if spaces == "kept" else " "
-        plain = f" [^{_SPACES}<]+" if spaces == "kept" else "[!-;=-~]+"
-        self.fits = re.compile(plain).fullmatch
+        plain = f" [^{_SPACES}<]+" if spaces == "kept" else f"[^{_SPACES}<]+"
+        self.plain, self.kept = re.compile(plain).fullmatch, spaces == "kept"
+
+    def fits(self, word: str) -> bool:
+        """Others than ASCII may be rewritten; then only if that seems to keep their length."""
+        if not self.plain(word):
+            return False
+        return self.kept or word.isascii() or \
+            len(unicodedata.normalize("NFC", word).lower().encode()) == len(word.encode())
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The ids of all words in order, and the number of each."""
@@ -130,13 +138,19 @@ class ChunkEncoder:
 
         Only after a letter of ASCII: others may be rewritten to end in what joins the mark.
         """
-        ended = [] if self.spaces == "whole" else [w for w in words if _ENDED(w)]
+        ended: list[str] = []
+        plain = words
+        if self.spaces != "whole":
+            plain = []
+            for w in words:
+                (ended if _ENDED(w) else plain).append(w)
         heads, marks = [w[:-1] for w in ended], [w[-1] for w in ended]
-        plain = words if not ended else [w for w in words if not _ENDED(w)]
         new = [w for w in dict.fromkeys([*plain, *heads, *marks]) if w not in self.slot]
         if self.joined is not None:
             fit = [w for w in new if self.joined.fits(w)]
-            for group in by_bytes(fit, ENCODE_BYTES):
+            # Apart from ASCII, as a word that is rewritten to another length spoils its group.
+            groups = [[w for w in fit if w.isascii()], [w for w in fit if not w.isascii()]]
+            for group in itertools.chain.from_iterable(by_bytes(g, ENCODE_BYTES) for g in groups):
                 found = self.joined.encode(group)
                 if found is not None:
                     self._put(group, *found)
@@ -172,7 +186,7 @@ class ChunkEncoder:
             plain = pc.split_pattern(pc.replace_substring(column, " ", "\0 "), "\0")
         else:
             odd = np.zeros(len(column), bool)
-            plain = pc.split_pattern(column, " ")
+            plain = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
         odd = odd | whole
         if not odd.any():
             return plain.flatten(), np.diff(plain.offsets.to_numpy())
