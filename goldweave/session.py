@@ -17,6 +17,10 @@ LOAD_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    # Wide rows take some fifteen times their bytes in files and shuffles once they are sorted in
+    # memory: a task gets few enough of them not to spill.
+    "spark.sql.files.maxPartitionBytes": "4MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
 }
 
 
