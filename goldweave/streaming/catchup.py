@@ -152,6 +152,11 @@ LATE_TABLE = "late_messages"
 # A late message with the end of the window it came too late for.
 LATE_SCHEMA = T.StructType([*S.MESSAGE_SCHEMA.fields, T.StructField("window_end", T.TimestampType())])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state is kept on disk, and a batch commits what it changed, not whole snapshots of it.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def winners(messages: DataFrame, first: Windows, *, item: str = "item", seq: str = "seq_num",
@@ -218,9 +223,9 @@ def start_state_catch_up(
             store.commit(also, run_id)
 
     spark = messages.sparkSession
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         writer = (
             winners(messages, first)
@@ -231,10 +236,11 @@ def start_state_catch_up(
         )
         return writer.trigger(**(trigger or {"availableNow": True})).start()
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def read_message_stream(spark: SparkSession, path: str, schema=S.MESSAGE_SCHEMA) -> DataFrame:
