@@ -22,8 +22,17 @@ import regex
 # White space of Unicode, as the libraries have it: not the separators that Python counts as such.
 _SPACES = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
-# Two of them in a row, or the character by which texts are split here.
-_ODD = r"[\pZ\s\x0b\x85][\pZ\s\x0b\x85]|\x00"
+# Two of them in a row.
+_ODD = r"[\pZ\s\x0b\x85][\pZ\s\x0b\x85]"
+# The pattern of byte-level vocabularies: its matches are white space, letters, digits or other marks.
+APART = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Bytes by kind: letters of ASCII, its digits and marks, and first bytes of U+00C0 to U+023F,
+# which are letters but for two.
+_LETTER, _MARK, _LATIN = (np.array([test(b) for b in range(256)]) for test in (
+    lambda b: b < 128 and chr(b).isalpha(),
+    lambda b: b < 128 and not chr(b).isalpha() and chr(b) not in "\t\n\x0b\x0c\r ",
+    lambda b: 0xC3 <= b <= 0xC8))
+_NO_LETTERS = [tuple(c.encode()) for c in "×÷"]
 _ENDED = re.compile("(?s:.*)[A-Za-z][.,;:!?]").fullmatch
 
 SLICE_BYTES = 4 << 20
@@ -62,12 +71,13 @@ class Joined:
 
     Chunks that fit are such that the text would be cut between them anyhow, and that their ids
     spell them byte by byte; so the sizes of the ids' bytes tell where each chunk ends. If they
-    do not meet every end there is no result, and the chunks are encoded one by one.
+    do not meet every end there is no result, and the chunks are encoded one by one. Where spaces
+    are kept, chunks without one are set apart by line feeds, whose ids are dropped.
     """
 
     def __init__(self, encode: Callable[[str], Sequence[int]], sizes: np.ndarray, spaces: str):
         self.text_ids, self.sizes, self.glue = encode, sizes, "" if spaces == "kept" else " "
-        plain = f" [^{_SPACES}<]+" if spaces == "kept" else f"[^{_SPACES}<]+"
+        plain = f" ?[^{_SPACES}<]+" if spaces == "kept" else f"[^{_SPACES}<]+"
         self.plain, self.kept = re.compile(plain).fullmatch, spaces == "kept"
 
     def fits(self, word: str) -> bool:
@@ -78,7 +88,22 @@ class Joined:
             len(unicodedata.normalize("NFC", word).lower().encode()) == len(word.encode())
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """The ids of all words in order, and the number of each."""
+        """The ids of all words in order, and the number of each.
+
+        If spaces are kept, all words begin with one or none does.
+        """
+        if self.kept and words and words[0][0] != " ":
+            found = self._spelled([f"\n{w}" for w in words])
+            if found is None:
+                return None
+            ids, lengths = found
+            feeds = np.cumsum(lengths) - lengths
+            if (self.sizes[ids[feeds]] != 1).any():
+                return None
+            return np.delete(ids, feeds), lengths - 1
+        return self._spelled(words)
+
+    def _spelled(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         ids = np.array(self.text_ids(self.glue.join(words)), np.uint32)
         ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
         reached = np.cumsum(self.sizes[ids])
@@ -96,15 +121,17 @@ class ChunkEncoder:
     of white space leave their last space to that word), ``"dropped"``, or ``"whole"`` for a
     tokenizer whose texts cannot be cut. Texts with one of
     ``special`` in them are encoded whole, since such strings cut a text on their own.
+    ``apart`` says that spaces are kept and texts are matched by ``APART``: then they are cut at
+    line feeds as well, and where letters end before a digit or a mark.
     """
 
     def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], spaces: str,
                  special: Sequence[str] = (), max_bytes: int = CACHE_BYTES,
-                 joined: "Joined | None" = None):
+                 joined: "Joined | None" = None, apart: bool = False):
         if spaces not in ("kept", "dropped", "whole"):
             raise ValueError(f"spaces must be kept, dropped or whole, not {spaces!r}")
         self.encode, self.spaces, self.special, self.max_bytes = encode, spaces, special, max_bytes
-        self.joined = joined
+        self.joined, self.apart = joined, apart
         self._clear()
 
     def _clear(self) -> None:
@@ -140,7 +167,7 @@ class ChunkEncoder:
         """
         ended: list[str] = []
         plain = words
-        if self.spaces != "whole":
+        if self.spaces != "whole" and not self.apart:
             plain = []
             for w in words:
                 (ended if _ENDED(w) else plain).append(w)
@@ -149,7 +176,10 @@ class ChunkEncoder:
         if self.joined is not None:
             fit = [w for w in new if self.joined.fits(w)]
             # Apart from ASCII, as a word that is rewritten to another length spoils its group.
-            groups = [[w for w in fit if w.isascii()], [w for w in fit if not w.isascii()]]
+            kinds: dict[tuple[bool, bool], list[str]] = {}
+            for w in fit:
+                kinds.setdefault((w.isascii(), w[0] == " "), []).append(w)
+            groups = kinds.values()
             for group in itertools.chain.from_iterable(by_bytes(g, ENCODE_BYTES) for g in groups):
                 found = self.joined.encode(group)
                 if found is not None:
@@ -182,38 +212,61 @@ class ChunkEncoder:
         for mark in self.special:
             whole |= pc.match_substring(column, mark).to_numpy(zero_copy_only=False)
         if self.spaces == "kept":
-            odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
-            plain = pc.split_pattern(pc.replace_substring(column, " ", "\0 "), "\0")
-        else:
-            odd = np.zeros(len(column), bool)
-            plain = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
-        odd = odd | whole
-        if not odd.any():
+            return self._cut(column, whole)
+        plain = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        if not whole.any():
             return plain.flatten(), np.diff(plain.offsets.to_numpy())
-        parts: list[pa.Array] = []
-        counts = []
-        for i in range(len(column)):
-            if odd[i]:
-                text = column[i].as_py()
-                own = pa.array([text] if whole[i] else _CHUNK.findall(text), column.type)
-            else:
-                own = plain[i].values
-            parts.append(own)
-            counts.append(len(own))
-        return pa.concat_arrays(parts), np.array(counts)
+        parts = [column.slice(i, 1) if whole[i] else plain[i].values for i in range(len(column))]
+        return pa.concat_arrays(parts), np.array(list(map(len, parts)))
+
+    def _cut(self, column: pa.Array, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Chunks as places in the bytes of the column, for spaces that are kept."""
+        column = column.cast(pa.string())
+        _, offsets, buffer = column.buffers()
+        ends = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1] \
+            if len(column) else np.zeros(1, np.int32)
+        data = np.frombuffer(buffer or b"", np.uint8)[ends[0]:ends[-1]]
+        ends = (ends - ends[0]).astype(np.int64)
+        cut = data == 32
+        if self.apart:
+            feed = data == 10
+            cut |= feed
+            cut[1:] |= feed[:-1]
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(odd & ~whole).tolist():
+            found = _CHUNK.findall(column[i].as_py())
+            sizes = np.fromiter((len(c.encode()) for c in found), np.int64, len(found))
+            cut[ends[i]:ends[i + 1]] = False
+            cut[ends[i] + np.cumsum(sizes) - sizes] = True
+        if self.apart:
+            letter = _LETTER[data]
+            high = _LATIN[data[:-1]]
+            for first, second in _NO_LETTERS:
+                high &= (data[:-1] != first) | (data[1:] != second)
+            letter[1:] |= high
+            cut[1:] |= letter[:-1] & _MARK[data[1:]]
+        for i in np.flatnonzero(whole).tolist():
+            cut[ends[i]:ends[i + 1]] = False
+        cut[ends[:-1][ends[:-1] < ends[1:]]] = True
+        starts = np.flatnonzero(cut)
+        places = np.append(starts, len(data)).astype(np.int32)
+        chunks = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(data))
+        return chunks, np.diff(np.searchsorted(starts, ends))
 
     def _slots(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The slot of each chunk, and the number of chunks of each text."""
         chunks, counts = self._chunks(column)
         coded = chunks.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         self._trim()
-        missing = [w for w in words if w not in self.slot]
-        if missing:
+        slots = np.fromiter(map(self.slot.get, words, itertools.repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(slots < 0)
+        if len(unknown):
+            missing = [words[i] for i in unknown.tolist()]
             self._learn([w for w in missing if len(w) <= LONG])
             self.kept = len(self.slot), self.used, self.characters
             self._learn([w for w in missing if len(w) > LONG])
-        slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
+            slots[unknown] = np.fromiter(map(self.slot.__getitem__, missing), np.int64, len(missing))
         self.uses[slots] += 1
         return slots[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), counts
 
@@ -304,7 +357,9 @@ def library_encoder(path: str, spaces: str | None = None) -> ChunkEncoder:
     def encode(group: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
 
-    return ChunkEncoder(encode, spaces or known, special, joined=_joined(tokenizer, spaces or known))
+    # Spaces are kept only by byte-level pre-tokenizers, whose pattern is the one of APART.
+    return ChunkEncoder(encode, spaces or known, special, joined=_joined(tokenizer, spaces or known),
+                        apart=(spaces or known) == "kept")
 
 
 def _joined(tokenizer, spaces: str) -> Joined | None:

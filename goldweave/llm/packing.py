@@ -25,6 +25,8 @@ MAX_BROADCAST = 1 << 16
 #: Terms in more than this share of a shard's documents are kept as rows of weights by document.
 DENSE = 1 / 8
 NEIGHBOURS = 64
+#: Weights that are added to scores at once.
+BLOCK = 1 << 18
 # Fixed parameters of the ranking function.
 K1, B = 1.2, 0.75
 
@@ -74,11 +76,26 @@ class Bm25:
         self.scores[:] = 0
         at = self.queries[seed]
         row = self.row[at]
-        for r in row[row >= 0]:
-            self.scores += self.rows[r]
-        for k in at[row < 0]:
-            part = slice(self.starts[k], self.ends[k])
-            self.scores[self.owner[part]] += self.weight[part]
+        rows = row[row >= 0]
+        # One after another in either way, so that sums do not depend on how many are taken at once.
+        step = max(1, BLOCK // len(self.scores))
+        for k in range(0, len(rows), step):
+            own = rows[k:k + step]
+            both = np.empty((len(own) + 1, len(self.scores)), np.float32)
+            both[0] = self.scores
+            np.take(self.rows, own, axis=0, out=both[1:], mode="clip")
+            np.add.reduce(both, axis=0, out=self.scores)
+        rare = at[row < 0]
+        sizes = self.ends[rare] - self.starts[rare]
+        ends = np.cumsum(sizes)
+        k = 0
+        while k < len(rare):
+            done = ends[k] - sizes[k]
+            stop = max(k + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+            own = sizes[k:stop]
+            part = np.arange(done, ends[stop - 1]) + np.repeat(self.starts[rare[k:stop]] - ends[k:stop] + own, own)
+            np.add.at(self.scores, self.owner[part], self.weight[part])
+            k = stop
 
     def neighbours(self, seed: int, unused: np.ndarray, want: int = NEIGHBOURS) -> np.ndarray:
         """Unused documents by falling score; those without a shared term are left out.

@@ -75,6 +75,22 @@ def test_every_term_of_a_seed_is_scored():
     assert np.allclose(index.scores, expected, rtol=1e-4)
 
 
+def test_scores_are_added_in_the_order_of_terms(monkeypatch):
+    draw = np.random.default_rng(5)
+    docs = [draw.zipf(1.3, draw.integers(1, 300)).clip(0, 5000).astype(np.uint32) for _ in range(200)]
+    for block in (1, 1000, packing.BLOCK):
+        monkeypatch.setattr(packing, "BLOCK", block)
+        index = packing.Bm25(docs)
+        for seed in range(0, 200, 7):
+            expected = np.zeros(200, np.float32)
+            at = index.queries[seed]
+            for k in [*at[index.row[at] >= 0], *at[index.row[at] < 0]]:
+                part = slice(index.starts[k], index.ends[k])
+                expected[index.owner[part]] += index.weight[part]
+            index.score(seed)
+            assert (index.scores == expected).all()
+
+
 def test_end_ids_are_not_shared_terms():
     docs = [np.array(x, np.uint32) for x in ([2, 3, 1], [9, 8, 7, 6, 1], [5, 1])]
     assert packing.order_by_retrieval(docs, 100, ends=1) == [0, 1, 2]

@@ -101,6 +101,40 @@ def test_ids_of_odd_texts(texts):
         same(ranked(path).encoder, encoding(path).encode_ordinary, texts)
 
 
+# Letters and marks around the places where words are cut from what follows them.
+ENDS = st.lists(st.sampled_from([
+    *"aZ×÷ÀßƀȿɀʰéΑ你'’.,$(1٣<\x00\x1c\n\t\u0301\u2003\xad", " ", " ", "'s", "'ll", "''s", "$$$", "\n\n", " \n", "<|endoftext|>"]),
+    max_size=14).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(ENDS, min_size=1, max_size=12))
+def test_ids_where_words_end(texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    same(cutting(path), lambda t: library("byte_bpe_50k.json").encode(t, add_special_tokens=False).ids, texts)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    same(ranked(path).encoder, encoding(path).encode_ordinary, texts)
+
+
+@pytest.mark.parametrize("make", [
+    lambda: chunks.library_encoder.__wrapped__(public_tokenizers.path("byte_bpe_50k.json"))])
+def test_a_word_is_learnt_once_whatever_follows(make):
+    encoder = make()
+    words, ends = ["one", "Two", "drée", "Ünß"], [".", ",\n", "\n", "$$$", " ", ".\nThen ", "1"]
+    encoder.ids(pa.array([f"x {w}{e}Last" for w in words for e in ends]))
+    assert {w.strip() for w in encoder.slot} <= {
+        *words, "x", "Then", "Last", "", ".Last", ".", ",", "$$$Last", "1Last"}
+
+
+def test_other_patterns_keep_line_feeds_with_marks():
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    pattern = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+[\r\n]*|\s+(?!\S)|\s+"
+    other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={})
+    same(byte_bpe.ByteBpe(path, pattern).encoder, other.encode_ordinary, ["one.\nTwo, three;\n}\nx", "a\nb"])
+
+
 # The library keeps two of each at most.
 cutting = lru_cache(chunks.library_encoder.__wrapped__)
 
