@@ -11,7 +11,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from goldweave.llm.chunks import ChunkEncoder, slices
+from goldweave.llm.chunks import APART, ChunkEncoder, slices
 from goldweave.llm.tables import id_type, schema, texts
 
 _NONE = 1 << 62
@@ -85,7 +85,7 @@ class ByteBpe:
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.encoder = ChunkEncoder(self.encode_all, "kept")
+        self.encoder = ChunkEncoder(self.encode_all, "kept", apart=pattern == APART)
 
     def encode_all(self, group: list[str]) -> list[list[int]]:
         known: dict[str, list[int]] = {}

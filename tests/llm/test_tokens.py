@@ -117,7 +117,8 @@ def test_ids_where_words_end(texts):
 
 
 @pytest.mark.parametrize("make", [
-    lambda: chunks.library_encoder.__wrapped__(public_tokenizers.path("byte_bpe_50k.json"))])
+    lambda: chunks.library_encoder.__wrapped__(public_tokenizers.path("byte_bpe_50k.json")),
+    lambda: byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).encoder])
 def test_a_word_is_learnt_once_whatever_follows(make):
     encoder = make()
     words, ends = ["one", "Two", "drée", "Ünß"], [".", ",\n", "\n", "$$$", " ", ".\nThen ", "1"]
