@@ -87,6 +87,9 @@ class Joined:
         return self.kept or word.isascii() or \
             len(unicodedata.normalize("NFC", word).lower().encode()) == len(word.encode())
 
+    def fitting(self, words: list[str]) -> list[str]:
+        return list(filter(self.plain if self.kept else self.fits, words))
+
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The ids of all words in order, and the number of each.
 
@@ -104,8 +107,10 @@ class Joined:
         return self._spelled(words)
 
     def _spelled(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        ids = np.array(self.text_ids(self.glue.join(words)), np.uint32)
-        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        text = self.glue.join(words)
+        ids = np.array(self.text_ids(text), np.uint32)
+        sizes = map(len, words) if text.isascii() else (len(w.encode()) for w in words)
+        ends = np.cumsum(np.fromiter(sizes, np.int64, len(words)))
         reached = np.cumsum(self.sizes[ids])
         stops = np.searchsorted(reached, ends)
         if len(ids) == 0 or reached[-1] != ends[-1] or (reached[stops] != ends).any():
@@ -161,7 +166,7 @@ class ChunkEncoder:
         self.characters += sum(map(len, words))
 
     def _learn(self, words: list[str]) -> None:
-        """Encode what is missing; a word and the mark that ends it are encoded apart.
+        """Encode what is missing, given once each; a word and the mark that ends it are encoded apart.
 
         Only after a letter of ASCII: others may be rewritten to end in what joins the mark.
         """
@@ -172,14 +177,12 @@ class ChunkEncoder:
             for w in words:
                 (ended if _ENDED(w) else plain).append(w)
         heads, marks = [w[:-1] for w in ended], [w[-1] for w in ended]
-        new = [w for w in dict.fromkeys([*plain, *heads, *marks]) if w not in self.slot]
+        new = [w for w in dict.fromkeys([*plain, *heads, *marks]) if w not in self.slot] if ended else words
         if self.joined is not None:
-            fit = [w for w in new if self.joined.fits(w)]
+            fit = self.joined.fitting(new)
             # Apart from ASCII, as a word that is rewritten to another length spoils its group.
-            kinds: dict[tuple[bool, bool], list[str]] = {}
-            for w in fit:
-                kinds.setdefault((w.isascii(), w[0] == " "), []).append(w)
-            groups = kinds.values()
+            basic, other = [w for w in fit if w.isascii()], [w for w in fit if not w.isascii()]
+            groups = [[w for w in g if (w[0] == " ") == space] for g in (basic, other) for space in (True, False)]
             for group in itertools.chain.from_iterable(by_bytes(g, ENCODE_BYTES) for g in groups):
                 found = self.joined.encode(group)
                 if found is not None:

@@ -35,29 +35,35 @@ class Bm25:
     """An inverted index over the token ids of the documents of one shard."""
 
     def __init__(self, docs: list[np.ndarray]):
-        terms, owners, counts = [], [], []
-        for i, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
-            terms.append(t)
-            counts.append(c)
-            owners.append(np.full(len(t), i, np.int32))
-        term, owner, count = (np.concatenate(x) for x in (terms, owners, counts))
-        order = np.argsort(term, kind="stable")
-        self.owner = owner[order]
-        self.terms, self.starts = np.unique(term[order], return_index=True)
-        self.ends = np.append(self.starts[1:], len(order))
-        df = self.ends - self.starts
+        # Terms with their documents as one sorted sequence of numbers.
         n = len(docs)
+        flat = np.concatenate(docs)
+        sizes = np.fromiter(map(len, docs), np.int64, n)
+        held = flat.astype(np.uint64) << np.uint64(32)
+        held |= np.repeat(np.arange(n, dtype=np.uint32), sizes)
+        held.sort()
+        first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+        count = np.diff(first, append=len(held))
+        held = held[first]
+        self.owner = held.astype(np.uint32).astype(np.int32)
+        term = (held >> np.uint64(32)).astype(flat.dtype)
+        self.starts = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+        self.terms = term[self.starts]
+        self.ends = np.append(self.starts[1:], len(term))
+        df = self.ends - self.starts
         self.idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        size = np.array([len(d) for d in docs], np.float32)
+        size = sizes.astype(np.float32)
         norm = K1 * (1 - B + B * size / max(float(size.mean()), 1.0))
-        tf = count[order].astype(np.float32)
+        tf = count.astype(np.float32)
         self.weight = np.repeat(self.idf, df) * tf * (K1 + 1) / (tf + norm[self.owner])
         # The terms of each document that another document has as well.
-        self.queries = []
-        for t in terms:
-            at = np.searchsorted(self.terms, t)
-            self.queries.append(at[df[at] > 1].astype(np.int32))
+        shared = np.repeat(df > 1, df)
+        held = self.owner[shared].astype(np.uint64) << np.uint64(32)
+        held |= np.repeat(np.arange(len(df), dtype=np.uint32), np.where(df > 1, df, 0))
+        held.sort()
+        at = held.astype(np.uint32).astype(np.int32)
+        ends = np.cumsum(np.bincount(self.owner[shared], minlength=n)).tolist()
+        self.queries = [at[i:j] for i, j in zip([0, *ends], ends, strict=False)]
         common = np.flatnonzero(df > max(DENSE * n, 1))
         self.row = np.full(len(df), -1, np.int32)
         self.row[common] = np.arange(len(common))
