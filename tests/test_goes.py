@@ -7,6 +7,8 @@ import pytest
 
 import items as I
 from goldweave import schema as S
+from goldweave import session
+from goldweave.operators.quarantine import Rule
 from goldweave.plans import item_load
 from test_item_load import HOUR, due, random_world, small_session  # noqa: F401
 
@@ -85,3 +87,25 @@ def test_what_was_shuffled_for_the_master_is_deleted_once_it_is_written(spark, m
     before = shuffled(spark)
     w.run(mode="B", parts=8)
     assert len(goes) == 4 and left == []
+
+
+def tables(spark):
+    return set(glob.glob(f"{session.shared_folder(spark).removeprefix('file:')}/goldweave/*"))
+
+
+def test_tables_staged_for_a_load_go_with_it(spark, goes):
+    w = random_world(spark, 9)
+    before = tables(spark)
+    w.run()
+    assert tables(spark) == before
+    w.run(mode="C", run_id="c")
+    with pytest.raises(item_load.LoadFailed):
+        w.run(mode="B", run_id="b", feed_rules=[Rule(1, "wrong", "no_such_column = 1")])
+    assert tables(spark) == before
+
+
+def test_a_staged_table_that_cannot_be_deleted_is_a_warning(spark, monkeypatch):
+    monkeypatch.setattr(session, "scratch", lambda spark, name: "nosuch://x/y")
+    with pytest.warns(UserWarning, match="was not deleted"):
+        with pytest.raises(Exception), session.passing_tables(spark):
+            session.staged(spark.range(1), "t")
