@@ -10,6 +10,7 @@ from goldweave import schema as S
 from goldweave import session
 from goldweave.operators.quarantine import Rule
 from goldweave.plans import item_load
+from goldweave.sources import Store
 from test_item_load import HOUR, due, random_world, small_session  # noqa: F401
 
 
@@ -109,3 +110,20 @@ def test_a_staged_table_that_cannot_be_deleted_is_a_warning(spark, monkeypatch):
     with pytest.warns(UserWarning, match="was not deleted"):
         with pytest.raises(Exception), session.passing_tables(spark):
             session.staged(spark.range(1), "t")
+
+
+def test_a_bucketed_table_is_written_by_the_tasks_that_have_the_rows(spark):
+    """It was shuffled once more, wide as it is, and sorted by bucket in as few tasks as buckets."""
+    store = Store(spark, session.scratch(spark, "buckets"))
+    rows = spark.range(0, 3000, numPartitions=3).selectExpr("cast(id as string) AS k", "id AS v")
+    before = shuffled(spark)
+    with session.load_settings(spark):
+        written = store.write([rows, rows.selectExpr("concat('x', k) AS k", "v")], "t", "r", buckets=4, bucket_columns=["k"])
+        assert shuffled(spark) <= before
+        store.commit([written], "r")
+        found = store.read("t", rows.schema)
+        assert sorted(r.k for r in found.collect()) == sorted(f"{x}{i}" for x in ("", "x") for i in range(3000))
+        sums = found.groupBy("k").count()
+        assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+        assert sums.where("count > 1").isEmpty()
+    assert len(glob.glob(f"{written.path.removeprefix('file:')}/*.parquet")) == 2 * 3 * 4
